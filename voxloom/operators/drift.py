@@ -238,14 +238,21 @@ def ingest(files: DataFrame) -> DataFrame:
 def promote(segments: DataFrame, fields: dict[str, str]) -> DataFrame:
     """Replay rescued values of approved ``fields`` (name -> Spark type) into typed columns.
 
-    A value that casts leaves the rescue column; one that doesn't stays there and gives null. All in the JVM.
+    A value that casts leaves the rescue column; one that doesn't stays there and gives null, as does a field that is not
+    there. Casts run in the JVM; only rows with something rescued are rewritten.
     """
-    whole = F.from_json("rescued", "map<string,string>")
-    out = segments.withColumn("_m", whole)
+    @F.pandas_udf("string")
+    def rest(rescued: pd.Series, taken: pd.Series) -> pd.Series:
+        def left(text, names):
+            if text is None or names is None or not len(names):
+                return text
+            kept = {k: v for k, v in json.loads(text).items() if k not in set(names)}
+            return json.dumps(kept, ensure_ascii=False, sort_keys=True) if kept else None
+        return pd.Series([left(t, n) for t, n in zip(rescued, taken, strict=True)], dtype=object)
+
+    out = segments.withColumn("_m", F.from_json("rescued", "map<string,string>"))
     for name, to in fields.items():
         raw = F.try_element_at("_m", F.lit(name))
-        value = F.from_json(raw, to) if to.startswith(("array", "map", "struct")) else raw.try_cast(to)
-        out = out.withColumn(name, value).withColumn("_m", F.when(F.col(name).isNull(), F.col("_m")).otherwise(F.map_filter("_m", lambda k, _, n=name: k != n)))
-    kept = F.map_keys("_m")
-    left = F.filter(F.json_object_keys("rescued"), lambda k: F.array_contains(kept, k))
-    return out.withColumn("rescued", F.when(F.size(left) > 0, F.to_json(F.map_filter("_m", lambda k, v: F.array_contains(left, k))))).drop("_m")
+        out = out.withColumn(name, F.from_json(raw, to) if to.startswith(("array", "map", "struct")) else raw.try_cast(to))
+    taken = F.array_compact(F.array(*[F.when(F.col(n).isNotNull(), F.lit(n)) for n in fields]))
+    return out.withColumn("rescued", rest("rescued", taken)).drop("_m")
