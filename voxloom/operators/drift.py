@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.operators.scan import block_lag
+from voxloom.session import checkpointed
 
 #: Files of one exporter that fall into so many days are compared in one task.
 BLOCK_DAYS = 30
@@ -190,8 +191,8 @@ def schema_changes(files: DataFrame) -> DataFrame:
             yield pd.DataFrame(rows, columns=["exporter", "file_id", "change_kind", "old_field", "new_field"])
 
     clean = _files(files).filter("exporter is not null and produced_at is not null").select("file_id", "exporter", F.col("produced_at").cast("timestamp").alias("produced_at"), "body")
-    told = (clean.mapInPandas(profiled, "file_id bigint, exporter string, produced_at timestamp, fields string")
-            .withColumn("blk", F.floor(F.unix_timestamp("produced_at") / (86400 * BLOCK_DAYS))))
+    told = checkpointed(clean.mapInPandas(profiled, "file_id bigint, exporter string, produced_at timestamp, fields string")
+                        .withColumn("blk", F.floor(F.unix_timestamp("produced_at") / (86400 * BLOCK_DAYS))))
     before = block_lag(told, ["exporter"], "blk", [F.col("produced_at"), F.col("file_id")], {"before": F.col("fields")})
     return (before.filter("before is not null and before <> fields").select("exporter", "file_id", "before", "fields")
             .mapInPandas(compared, "exporter string, file_id bigint, change_kind string, old_field string, new_field string"))

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.operators.scan import block_scan
+from voxloom.session import checkpointed
 
 #: Lines of one log that a task scans at once.
 BLOCK_LINES = 20_000
@@ -37,7 +38,7 @@ _TOKEN = re.compile(
     rf"(?P<G>^[{''.join(LETTERS)}](?=\d{{4}} \d\d:))"                               # a letter before month and day: level
     rf"|(?P<T>\d{{4}}[-/.]\d\d?[-/.]\d\d?(?:[T ]+{_CLOCK}(?:Z|[+-]\d\d:?\d\d)?)?"
     rf"|{_MONTH} +\d{{1,2}} {_CLOCK}|(?<=^.)\d{{4}} {_CLOCK}|\b\d\d[-/]\d\d[-/]\d{{2,4}} {_CLOCK}"
-    rf"|(?<![\w:.]){_CLOCK}(?![\w:])|(?<![\w.])1\d{{9}}(?:\d{{3}}|\.\d+)?(?![\w.]))"
+    rf"|(?<![\w:.]){_CLOCK}(?![\w:])|(?<![\w.])\d{{10}}(?:\d{{3}}|\.\d+)?(?![\w.]))"
     rf"|(?P<L>(?<![\w.\-/])(?:(?i:{_NAMES}))(?![\w.\-/]))"
     r"|(?P<C>(?<![\w./])[A-Za-z_][\w\-]*(?:\.[A-Za-z_][\w\-]*)+(?::\d+)?(?![\w/])|[A-Za-z_][\w\-./]*\[\d+\])"
     r"|(?P<P>(?:[A-Za-z]:)?[/\\][^\s:'\"]+(?:\:\d+)?|[\w.\-]+\.(?:py|cc|cpp|go|rs|java|js|c|h):\d+)"
@@ -138,6 +139,25 @@ def join_templates(a: list[str], b: list[str], similar: float = SIMILAR) -> list
     return out
 
 
+_DIGITS = str.maketrans("123456789", "000000000")
+
+
+class Shapes:
+    """Results by a line's shape, the line with every digit as 0: no token's type depends on more than that."""
+
+    def __init__(self, make, limit: int = 50_000):
+        self.make, self.limit, self.known = make, limit, {}
+
+    def of(self, line: str):
+        shape = line.translate(_DIGITS)
+        got = self.known.get(shape)
+        if got is None:
+            if len(self.known) >= self.limit:
+                self.known.clear()
+            got = self.known[shape] = self.make(shape)
+        return got
+
+
 class Clusters:
     """Templates by head key, joined as they come."""
 
@@ -242,19 +262,18 @@ def templates(lines: DataFrame) -> DataFrame:
     and those of one head key are merged in one group. Templates grow with the number of layouts, not of lines.
     """
     def mine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        book, memo = Clusters(), {}
-        out: list = []
+        book, memo, out = Clusters(), {}, []
+        shapes = Shapes(lambda x: ((" " if x[0].isspace() else "") + "\x1f".join(seq := masked(x)), head_key(x), seq))
         for pdf in batches:
             for line in pdf["raw_line"]:
                 if not line.strip():
                     continue
-                seq = masked(line)
-                text = (" " if line[0].isspace() else "") + "\x1f".join(seq)
+                text, key, seq = shapes.of(line)
                 seen = memo.get(text)
                 if seen:
                     seen[0] += 1
                 else:
-                    memo[text] = [1, head_key(line), seq, line]
+                    memo[text] = [1, key, seq, line]
                 if len(memo) >= 20_000:
                     for n, k, s, x in memo.values():
                         out += book.add(k, s, n, x)
@@ -301,10 +320,11 @@ def _assigned(lines: DataFrame) -> DataFrame:
     clean = _clean(lines)
 
     def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shapes = Shapes(head_key)
         for pdf in batches:
-            yield pdf.assign(head_key=[head_key(x) for x in pdf["raw_line"]], solid=[bool(x.strip()) for x in pdf["raw_line"]])
+            yield pdf.assign(head_key=[shapes.of(x) for x in pdf["raw_line"]], solid=[bool(x.strip()) for x in pdf["raw_line"]])
 
-    marked = (clean.mapInPandas(keyed, "line_id bigint, log_name string, line_no bigint, raw_line string, head_key string, solid boolean")
+    marked = (checkpointed(clean.mapInPandas(keyed, "line_id bigint, log_name string, line_no bigint, raw_line string, head_key string, solid boolean"))
               .join(layouts(templates(clean)), "head_key", "left")
               .withColumns({"head": F.coalesce("head", F.lit(False)), "blk": F.floor(F.col("line_no") / BLOCK_LINES)}))
     return block_scan(marked, ["log_name"], "blk", [F.col("line_no")], sums={"entry": F.col("head").cast("bigint")}).filter("entry > 0")
