@@ -9,6 +9,7 @@ from voxloom.functions.text import words
 from voxloom.operators.intervals import overlapping
 from voxloom.operators.scan import block_lag, block_scan
 from voxloom.operators.windows import neighbours_of_type
+from voxloom.session import checkpointed
 
 SEGMENT, GROUP, BRIDGE = "WHISPER_SEGMENT", "WHISPER_GROUP", "BRIDGE_SEGMENT"
 #: Items of one recording that start within so many milliseconds are numbered in one task.
@@ -57,10 +58,10 @@ def push_bridges(items: DataFrame, key: str = "lecture_id", perfect: float = 9.9
     block each other and scores don't change, one look at the neighbours decides.
     """
     cols = {"t": F.col("type"), "p": F.coalesce(F.col(score), F.lit(0.0)) >= perfect, "g": F.coalesce("gemini_transcript", F.lit(""))}
-    laid = by_position(items)
+    laid = checkpointed(by_position(items))  # each look at a neighbour reads its input twice
     for n in (1, 2):  # the row before and the one before that; then the same towards the end
         laid = block_lag(laid, [key], "blk", [F.col("pos")], {f"b{n}_{k}": v if n == 1 else F.col(f"b1_{k}") for k, v in cols.items()})
-    laid = laid.withColumns({"_rev": -F.col("blk"), "_ord": -F.col("pos")})
+    laid = checkpointed(laid.withColumns({"_rev": -F.col("blk"), "_ord": -F.col("pos")}))
     for n in (1, 2):
         laid = block_lag(laid, [key], "_rev", [F.col("_ord")], {f"f{n}_{k}": v if n == 1 else F.col(f"f1_{k}") for k, v in cols.items()})
 
