@@ -95,5 +95,6 @@ def aligned_text(first: DataFrame, pairs: DataFrame) -> DataFrame:
     got = pairs.groupBy(F.col("a_id").alias("id")).agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "raw"))), lambda x: x["raw"]), " ").alias("gemini_transcript"), F.count("*").alias("_m"))
     n = F.size(align_tokens(F.col("text")))
-    score = F.round(F.least("_m", n) / F.greatest(F.col("_m"), n, F.lit(1)) * 10, 2)
+    # least() passes over nulls, so a row without a match must be kept from it.
+    score = F.when(F.col("_m").isNotNull(), F.round(F.least("_m", n) / F.greatest(F.col("_m"), n, F.lit(1)) * 10, 2))
     return first.join(got, "id", "left").withColumn("alignment_score", score).drop("_m")

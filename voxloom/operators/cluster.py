@@ -118,9 +118,10 @@ def global_clusters(centres: DataFrame, distance: float, key: str = "lecture_id"
     if parts <= 1:
         return first.select(key, cluster, "size", F.col("_l").alias("global"))
     linked = first.join(centres.select(key, cluster, "centroid"), [key, cluster])
-    middle = centroids(linked.select(F.col("_part").cast("string").alias("_p"), "_l", F.col("centroid").alias("emb")), ["_p", "_l"]).select("_p", "_l", "centroid", "size")
-    upper = global_clusters(middle, distance, "_p", "_l", most)
-    return first.join(upper.select(F.col("_p").cast("int").alias("_part"), "_l", "global"), ["_part", "_l"]).select(key, cluster, "size", "global")
+    middle = centroids(linked.select(F.col("_part").cast("string").alias("part"), F.col("_l").alias("in_part"), F.col("centroid").alias("emb")), ["part", "in_part"])
+    upper = global_clusters(middle, distance, "part", "in_part", most)
+    back = upper.select(F.col("part").cast("int").alias("_part"), F.col("in_part").alias("_l"), "global")
+    return first.join(back, ["_part", "_l"]).select(key, cluster, "size", "global")
 
 
 def speaker_names(clustered: DataFrame, main: str, key: str = "lecture_id", cluster: str = "cluster") -> DataFrame:

@@ -37,7 +37,7 @@ def file_listing(spark: SparkSession, path: str, pattern: str = "*.{mp3,wav}") -
 
 
 def _json_texts(spark: SparkSession, path: str, by_folder: bool) -> DataFrame:
-    return spark.read.option("wholetext", True).text(path).select((_folder(_path()) if by_folder else stem(_path())).alias("lecture_id"), strip_fence(F.col("value")).alias("doc"))
+    return spark.read.text(path, wholetext=True).select((_folder(_path()) if by_folder else stem(_path())).alias("lecture_id"), strip_fence(F.col("value")).alias("doc"))
 
 
 def whisper_files(spark: SparkSession, path: str, by_folder: bool = True) -> DataFrame:
@@ -84,14 +84,14 @@ def turn_files(spark: SparkSession, path: str) -> DataFrame:
 
     ``seq`` grows with the line's place in its file.
     """
-    lines = spark.read.option("wholetext", True).text(path).select(stem(_path()).alias("lecture_id"), F.posexplode(F.split("value", "\n")).alias("seq", "line"))
+    lines = spark.read.text(path, wholetext=True).select(stem(_path()).alias("lecture_id"), F.posexplode(F.split("value", "\n")).alias("seq", "line"))
     f = diarization_line(F.col("line"))
     return lines.select("lecture_id", "seq", *[c.alias(n) for n, c in f.items()]).filter("speaker is not null")
 
 
 def speaker_map_files(spark: SparkSession, path: str) -> DataFrame:
     """``lecture_id, local_id, speaker`` from nested JSON maps."""
-    docs = spark.read.option("wholetext", True).text(path).select(F.from_json("value", schemas.SPEAKER_MAP).alias("m"))
+    docs = spark.read.text(path, wholetext=True).select(F.from_json("value", schemas.SPEAKER_MAP).alias("m"))
     outer = docs.select(F.explode("m").alias("lecture_id", "inner"))
     return outer.select("lecture_id", F.explode("inner").alias("local_id", "speaker"))
 
