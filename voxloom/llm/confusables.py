@@ -33,10 +33,10 @@ LOOK_ALIKES = {
     # Armenian and others
     "օ": "o", "ս": "u", "հ": "h", "ց": "g", "Ս": "U", "Տ": "S", "Օ": "O", "ı": "i", "ɡ": "g", "ɑ": "a",
     # Marks
-    "‐": "-", "‑": "-", "﹣": "-", "՝": "'", "ꞌ": "'", "∶": ":", "꞉": ":", "∕": "/", "⁄": "/", "·": "·", "•": "•", "ʼ": "’",
+    "‐": "-", "‑": "-", "﹣": "-", "՝": "'", "ꞌ": "'", "∶": ":", "꞉": ":", "∕": "/", "⁄": "/", "ʼ": "’",
 }
 #: Canonically equal characters of other blocks that Unicode itself maps, and line ends.
-LINES = {"\r\n": "\n", "\r": "\n", "\u0085": "\n", " ": "\n", " ": "\n"}
+LINES = {"\r\n": "\n", "\r": "\n", "\u0085": "\n", "\u2028": "\n", "\u2029": "\n"}
 _TAGS = ("<wide>", "<narrow>", "<noBreak>", "<font>")
 
 
@@ -76,7 +76,7 @@ def singles() -> dict[str, str]:
         elif unicodedata.category(c) == "Zs":
             add(c, " ", "space")
         elif c not in LINES:
-            add(c, "".join(LOOK_ALIKES.get(x, x) for x in unicodedata.normalize("NFC", _expand(c))), "form")
+            add(c, unicodedata.normalize("NFC", "".join(LOOK_ALIKES.get(x, x) for x in unicodedata.normalize("NFD", _expand(c)))), "form")
     add("\t", " ", "space")
     for c, to in LINES.items():
         add(c, to, "line")
@@ -91,18 +91,24 @@ def singles() -> dict[str, str]:
 
 @lru_cache(maxsize=1)
 def _matcher() -> re.Pattern:
-    """Longest match: line ends, a character with its marks and invisible followers, or one character beyond ASCII."""
+    """Longest match: line ends, a character with its marks and invisible followers, or one character beyond ASCII.
+
+    Followers are marks, invisible characters, and whatever a canonical composition takes as its second part.
+    """
+    second = {0x1161 + i for i in range(21)} | {0x11A8 + i for i in range(27)}
+    for o in range(sys.maxunicode + 1):
+        parts = unicodedata.decomposition(chr(o)).split() if not 0xD800 <= o <= 0xDFFF else []
+        if len(parts) == 2 and parts[0][0] != "<":
+            second.add(int(parts[1], 16))
     follow, start = [], None
-    for o in range(0x300, sys.maxunicode + 1):
-        c = chr(o)
-        yes = not 0xD800 <= o <= 0xDFFF and (unicodedata.category(c) in ("Mn", "Me") or _invisible(c))
+    for o in range(0x80, sys.maxunicode + 2):
+        yes = o <= sys.maxunicode and not 0xD800 <= o <= 0xDFFF and (o in second or unicodedata.category(chr(o)) in ("Mn", "Me") or _invisible(chr(o)))
         if yes and start is None:
             start = o
         elif not yes and start is not None:
-            follow.append((start, o - 1))
+            follow.append(f"\\U{start:08x}-\\U{o - 1:08x}")
             start = None
-    marks = "­" + "".join(f"{re.escape(chr(a))}-{re.escape(chr(b))}" if a != b else re.escape(chr(a)) for a, b in follow)
-    return re.compile(rf"\r\n?|\t|[^\r\n\t][{marks}]+|[^\x00-\x7f]")
+    return re.compile(rf"\r\n?|\t|[^\r\n\t][{''.join(follow)}]+|[^\x00-\x7f]")
 
 
 _MEMO: dict[str, str] = {}
