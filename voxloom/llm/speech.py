@@ -24,7 +24,10 @@ ORDER = "gem_id"
 _CLOCK = r"(?:\d{1,3}:)?\d{1,2}:\d{2}(?:[.,]\d+)?"
 TIME = re.compile(rf"[\[(<]\s*({_CLOCK})\s*[\])>]|^\s*({_CLOCK})\s*[-–—|]\s+")
 NOTE = re.compile(r"\[[^\[\]]*\]|\([^()]*\)|<[^<>]*>|\{[^{}]*\}|\*{1,2}[^*]+\*{1,2}|[♪♫♬]+(?:[^♪♫♬]*[♪♫♬]+)?|[\[<{][^\[\]<>{}]{0,40}$")
-HESITATION = re.compile(r"(?<![\w'’\-])(?:mm+[\- ]?h+m+|m+-?hm+|uh+[\- ]huh+|uh-uh|u+h+|u+m+|e+r+m*|a+h+|h+m+|m{2,}|e+h+)(?![\w'’])(?:\s*(?:\.{2,}|…|,))?", re.I)
+_HERE = r"(?<![\w'’\-].)"
+#: Each branch begins with a letter, so that the search skips to candidates; the place before it is looked at after that.
+HESITATION = re.compile(rf"(?:u{_HERE}u*(?:h+[\- ]huh+|h-uh|h+|m+)|m{_HERE}m*(?:[\- ]?h+m+|m)|h{_HERE}h*m+|e{_HERE}(?:e*r+m*|e*h+)|a{_HERE}a*h+)(?![\w'’])(?:\s*(?:\.{{2,}}|…|,))?", re.I)
+_MARKS = re.compile(r"[\[(<{*♪♫♬]|\d:\d")
 LEAD = re.compile(r"^\s*[\"'“]?(\*{0,2}[^:\n]{1,60}?\*{0,2})\s*:\s+")
 _NUMBER = re.compile(r"^(?:speaker|spkr|spk|sp|s)[\s_\-.#]*0*(\d{1,6})$")
 # What stands for no speaker.
@@ -33,6 +36,8 @@ NOBODY = {"", "-", "--", "—", "?", "??", "unknown", "unknown speaker", "n/a",
 
 def plain(text: str) -> str:
     """Case-folded, without accents, compatibility forms replaced."""
+    if text.isascii():
+        return text.lower()
     return "".join(c for c in unicodedata.normalize("NFKD", text.casefold()) if not unicodedata.combining(c))
 
 
@@ -66,6 +71,8 @@ def written_time(text: str | None) -> float | None:
 
 def strip_marks(text: str) -> tuple[str, list[str]]:
     """Text without written times and sound notes, and the notes."""
+    if not _MARKS.search(text):
+        return text.strip(), []
     text = TIME.sub(" ", text)
     notes = [m[0] for m in NOTE.finditer(text)]
     text = NOTE.sub(" ", text) if notes else text
@@ -74,6 +81,8 @@ def strip_marks(text: str) -> tuple[str, list[str]]:
 
 def lead_label(text: str) -> tuple[str | None, str]:
     """The key of a label that may lead the text (marks taken off), and the text after it."""
+    if ":" not in text:
+        return None, text
     bare = text.strip()
     while (m := HESITATION.match(bare)) and m[0]:
         bare = bare[m.end():].lstrip()
@@ -86,13 +95,18 @@ def lead_label(text: str) -> tuple[str | None, str]:
     return key, bare[m.end():]
 
 
+_BEFORE_MARK = re.compile(r" ([,.!?;:])")
+_APOSTROPHE = re.compile(r"(?<=\w)['’](?=\w)")
+_WORDS = re.compile(r"[^\W_]+")
+
+
 def clean_words(text: str) -> str:
     """Text without hesitations, spaces made single."""
-    return re.sub(r"\s+([,.!?;:])", r"\1", re.sub(r"\s+", " ", HESITATION.sub(" ", text))).strip(" ,").strip()
+    return _BEFORE_MARK.sub(r"\1", " ".join(HESITATION.sub(" ", text).split())).strip(" ,")
 
 
 def words_of(text: str) -> list[str]:
-    return re.findall(r"[^\W_]+", plain(re.sub(r"(?<=\w)['’](?=\w)", "", text)))
+    return _WORDS.findall(plain(_APOSTROPHE.sub("", text)))
 
 
 PARSED = ("gem_id bigint, lecture_id string, start_s double, end_s double, own string, lead string, whole string, after string, "
@@ -111,9 +125,11 @@ def parse(gemini: DataFrame) -> DataFrame:
                 text = r.text if isinstance(r.text, str) else None
                 bare, notes = strip_marks(text or "")
                 lead, after = lead_label(bare)
+                whole = clean_words(bare)
                 at = r.start_s if r.start_s == r.start_s and r.start_s is not None else written_time(text)
-                out.append((r.gem_id, r.lecture_id, at, r.end_s, label_key(r.speaker if isinstance(r.speaker, str) else None), lead, clean_words(bare),
-                            clean_words(after), " ".join(plain(n) for n in notes) or None, bool(HESITATION.search(bare)), text is not None))
+                out.append((r.gem_id, r.lecture_id, at, r.end_s, label_key(r.speaker if isinstance(r.speaker, str) else None), lead, whole,
+                            None if lead is None else clean_words(after), " ".join(plain(n) for n in notes) or None,
+                            bool(notes) and bool(HESITATION.search(bare)), text is not None))
             yield pd.DataFrame(out, columns=[x.split()[0] for x in PARSED.split(", ")])
 
     # The first to arrive of repeated keys; they are alike in what is read here.

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -65,6 +66,18 @@ def _measured(df: DataFrame, ident: str, source: str, text: str, start: str | No
                           "closed": F.coalesce(closed, F.lit(False))}))
 
 
+@lru_cache(maxsize=200_000)
+def _norm(word: str) -> str:
+    w = plain(word)
+    return "0" if w.isdigit() else w
+
+
+@lru_cache(maxsize=20_000)
+def _ends(gap: str) -> bool:
+    """Do the marks after a word end a sentence (an ellipsis doesn't)."""
+    return bool(re.search(r"[.!?؟。！？]", gap)) and not re.search(r"\.{2,}|…", gap)
+
+
 def ending(text: str) -> tuple[str, list[tuple[str, bool]]]:
     """How a text ends - 'end', 'trail', 'broken', 'comma', 'open' or 'none' (no words) - and its (word, ends a sentence) list.
 
@@ -75,11 +88,7 @@ def ending(text: str) -> tuple[str, list[tuple[str, bool]]]:
     else:
         how = ""
     bare = HESITATION.sub(" ", lead_label(strip_marks(text)[0])[1]).rstrip()
-    words = []
-    for m in _WORD.finditer(bare):
-        w = plain(m[1])
-        ends = bool(re.search(r"[.!?؟。！？]", m[2])) and not re.search(r"\.{2,}|…", m[2])
-        words.append(("0" if w.isdigit() else w, ends))
+    words = [(_norm(w), gap != " " and _ends(gap)) for w, gap in _WORD.findall(bare)]
     if not words:
         return how or "none", words
     if how:
@@ -104,26 +113,31 @@ def _endings(records: DataFrame) -> DataFrame:
     broken ones don't. Counted in each task first, so the shuffle carries distinct word groups.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        book: dict = defaultdict(lambda: [0, 0])
+        seen: dict[str, Counter] = defaultdict(Counter)
+        ended: dict[str, Counter] = defaultdict(Counter)
 
         def out():
-            yield pd.DataFrame([(g, s, n, e) for (g, s), (n, e) in book.items()], columns=["gram", "source", "n", "ends"])
-            book.clear()
+            for source, book in seen.items():
+                e = ended[source]
+                yield pd.DataFrame({"gram": list(book), "source": source, "n": list(book.values()), "ends": [e[g] for g in book]})
+            seen.clear()
+            ended.clear()
 
         for pdf in batches:
             for text, source, spike in zip(pdf["text"], pdf["source"], pdf["spike"], strict=True):
-                how, words = ending(text)
-                last = len(words) - 1
-                for i, (_, ends) in enumerate(words):
-                    if i == last and not ends:
-                        if spike or how in ("broken", "trail", "comma"):
-                            continue
-                        ends = True
-                    for g in grams(words, i):
-                        c = book[g, source]
-                        c[0] += 1
-                        c[1] += ends
-            if len(book) > 300_000:
+                how, found = ending(text)
+                words, ends = [w for w, _ in found], [e for _, e in found]
+                if words and not ends[-1]:
+                    if spike or how in ("broken", "trail", "comma"):
+                        del words[-1], ends[-1]
+                    else:
+                        ends[-1] = True
+                pairs = [f"{a} {b}" for a, b in zip(words, words[1:])]
+                triples = [f"{a} {b}" for a, b in zip(pairs, words[2:])]
+                for n, groups in enumerate((words, pairs, triples)):
+                    seen[source].update(groups)
+                    ended[source].update([g for g, e in zip(groups, ends[n:]) if e])
+            if sum(map(len, seen.values())) > 300_000:
                 yield from out()
         yield from out()
 
