@@ -42,7 +42,7 @@ def p4_turns(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
-    return runs.runs(table(spark, sf, "gemini")).filter("n >= 2").select("first_gem_id", "last_gem_id")
+    return runs.runs(table(spark, sf, "gemini"), texts=False).filter("n >= 2").select("first_gem_id", "last_gem_id")
 
 
 def p5_events(spark: SparkSession, sf: str) -> DataFrame:

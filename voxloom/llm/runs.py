@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.llm.speech import ORDER, attributed, near, words_of
+from voxloom.llm.speech import ORDER, attributed, near, parse, with_text
 from voxloom.operators.scan import block_lag, block_scan
 from voxloom.session import checkpointed
 
@@ -51,7 +51,7 @@ def segment(keys: list[str], weights: list[int], penalty: float = PENALTY, misfi
     return out
 
 
-def runs(gemini: DataFrame) -> DataFrame:
+def runs(gemini: DataFrame, texts: bool = True) -> DataFrame:
     """``lecture_id, speaker, first_gem_id, last_gem_id, n, start_s, end_s, duration_s, text`` of every run, single events too.
 
     Events are the same if their words are equal apart from case, accents, punctuation, spaces, written times, hesitations
@@ -59,42 +59,39 @@ def runs(gemini: DataFrame) -> DataFrame:
     hesitations or nothing are the same. An event with a null text is a run of its own (``n`` 1) and parts its neighbours.
     Events without a known speaker count as one unknown speaker's. Equal neighbours are merged first, in the JVM and across
     blocks, so a long run reaches the segmentation as one weighted event; only chains of neighbours that might be slips of
-    one another are segmented.
+    one another are segmented. ``text`` is the first event's (left out without ``texts``).
     """
-    @F.pandas_udf("string")
-    def squeeze(text: pd.Series) -> pd.Series:
-        return text.map(lambda t: "".join(words_of(t)) if isinstance(t, str) else "")
-
-    rows = attributed(gemini)
-    key = (F.when(~F.col("has_text"), F.concat(F.lit("x:"), F.col(ORDER).cast("string")))
-           .when(F.col("speech"), F.concat(F.lit("w:"), squeeze("text")))
-           .when(F.col("note").isNotNull() & ~F.col("hesitant"), F.concat(F.lit("n:"), "note")).otherwise(F.lit("e:")))
-    events = rows.withColumns({"key": key, "who": F.coalesce("speaker", F.lit(""))}).select("lecture_id", ORDER, "blk", "who", "key", "start_s", "end_s", "text", "speaker")
-    lagged = block_lag(events, ["lecture_id"], "blk", [F.col(ORDER)], {"_k": F.col("key"), "_w": F.col("who")})
-    alike = F.col("_w").eqNullSafe(F.col("who"))
-    differs = ~(alike & F.col("_k").eqNullSafe(F.col("key")))
-    # Two events of one run are at most two slips apart (of four edits, as a swap is two).
-    linked = alike & F.col("key").startswith("w:") & F.coalesce(F.levenshtein("_k", "key", 4) >= 0, F.lit(False))
+    parsed = checkpointed(parse(gemini))
+    form = (F.when(~F.col("has_text"), "x").when(F.col("speech"), "w").when(F.col("noted") & ~F.col("hesitant"), "n").otherwise("e"))
+    events = attributed(parsed).withColumn("form", form).select(
+        "lecture_id", ORDER, "blk", "speaker", "led", "start_s", "end_s", "form", "size", F.coalesce("speaker", F.lit("")).alias("who"),
+        F.when(F.col("form") == "w", F.col("hash")).when(F.col("form") == "n", F.col("note_hash")).when(F.col("form") == "x", F.col(ORDER)).otherwise(F.lit(0)).alias("hash"))
+    lagged = block_lag(events, ["lecture_id"], "blk", [F.col(ORDER)], {"_f": F.col("form"), "_h": F.col("hash"), "_s": F.col("size"), "_w": F.col("who")})
+    alike = F.col("_w").eqNullSafe(F.col("who")) & F.col("_f").eqNullSafe(F.col("form"))
+    differs = ~(alike & F.col("_h").eqNullSafe(F.col("hash")))
+    # Two spoken events of one run are at most two slips apart, so their lengths differ by two at most.
+    linked = alike & (F.col("form") == "w") & (F.abs(F.col("size") - F.col("_s")) <= 2)
     marked = block_scan(lagged, ["lecture_id"], "blk", [F.col(ORDER)], sums={
         "node": differs.cast("bigint"), "chain": (differs & ~linked).cast("bigint")})
     nodes = checkpointed(marked.groupBy("lecture_id", "chain", "node").agg(
-        F.max("speaker").alias("speaker"), F.max("key").alias("key"), F.min(ORDER).alias("first_gem_id"), F.max(ORDER).alias("last_gem_id"),
-        F.count("*").alias("n"), F.min("start_s").alias("start_s"), F.max(F.coalesce("end_s", "start_s")).alias("end_s"), F.min_by("text", ORDER).alias("text")))
+        F.max("speaker").alias("speaker"), F.max("form").alias("form"), F.max("hash").alias("hash"), F.min_by("led", ORDER).alias("led"), F.min(ORDER).alias("first_gem_id"),
+        F.max(ORDER).alias("last_gem_id"), F.count("*").alias("n"), F.min("start_s").alias("start_s"), F.max(F.coalesce("end_s", "start_s")).alias("end_s")))
     # Nodes of a chain are counted by aggregation, so that no window gathers a lecture's chains.
-    sizes = nodes.groupBy("lecture_id", "chain").agg(F.count("*").alias("m"))
-    sized = nodes.join(sizes, ["lecture_id", "chain"])
-    cols = ["lecture_id", "speaker", "first_gem_id", "last_gem_id", "n", "start_s", "end_s", "text"]
+    sized = nodes.join(nodes.groupBy("lecture_id", "chain").agg(F.count("*").alias("m")), ["lecture_id", "chain"])
+    cols = ["lecture_id", "speaker", "first_gem_id", "last_gem_id", "n", "start_s", "end_s", "led"]
 
     def cut(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("node")
         out = []
-        for a, b in segment(list(pdf["key"]), list(pdf["n"])):
+        for a, b in segment(["w:" + t for t in pdf["text"]], list(pdf["n"])):
             part = pdf.iloc[a:b + 1]
             r = part.iloc[0]
-            out.append((r["lecture_id"], r["speaker"], r["first_gem_id"], part["last_gem_id"].iloc[-1], part["n"].sum(), part["start_s"].min(), part["end_s"].max(), r["text"]))
+            out.append((r["lecture_id"], r["speaker"], r["first_gem_id"], part["last_gem_id"].iloc[-1], part["n"].sum(), part["start_s"].min(), part["end_s"].max(), r["led"]))
         return pd.DataFrame(out, columns=cols)
 
-    schema = "lecture_id string, speaker string, first_gem_id bigint, last_gem_id bigint, n bigint, start_s double, end_s double, text string"
-    many = sized.filter("m > 1").groupBy("lecture_id", "chain").applyInPandas(cut, schema)
-    return (sized.filter("m = 1").select(*cols).unionByName(many)
-            .withColumn("duration_s", F.round(F.greatest(F.col("end_s") - F.col("start_s"), F.lit(0.0)), 3)))
+    schema = "lecture_id string, speaker string, first_gem_id bigint, last_gem_id bigint, n bigint, start_s double, end_s double, led boolean"
+    # Only spoken events form chains of several nodes; their words are fetched by their first records.
+    many = with_text(sized.filter("m > 1"), parsed, "first_gem_id", keys=True).groupBy("lecture_id", "chain").applyInPandas(cut, schema)
+    out = (sized.filter("m = 1").select(*cols).unionByName(many)
+           .withColumn("duration_s", F.round(F.greatest(F.col("end_s") - F.col("start_s"), F.lit(0.0)), 3)))
+    return with_text(out, parsed, "first_gem_id").drop("led") if texts else out.drop("led")

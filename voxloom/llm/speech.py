@@ -109,14 +109,20 @@ def words_of(text: str) -> list[str]:
     return _WORDS.findall(plain(_APOSTROPHE.sub("", text)))
 
 
-PARSED = ("gem_id bigint, lecture_id string, start_s double, end_s double, own string, lead string, whole string, after string, "
+PARSED = ("gem_id bigint, lecture_id string, start_s double, end_s double, own string, lead string, whole string, after string, whole_key string, after_key string, "
           "note string, hesitant boolean, has_text boolean")
 
 
+def squeezed(text: str) -> str:
+    """The words of a text without spaces, for comparing."""
+    return "".join(words_of(text))
+
+
 def parse(gemini: DataFrame) -> DataFrame:
-    """One row a record: label keys, texts without marks (with and without a leading label), notes.
+    """One row a record: label keys, texts without marks (with and without a leading label), their words squeezed, notes.
 
-    Repeated keys count once; records without gem_id or lecture_id are left out. A null text parses as no words.
+    Repeated keys count once; records without gem_id or lecture_id are left out. A null text parses as no words. ``after``
+    and ``after_key`` are null where no label may lead the text.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -126,16 +132,17 @@ def parse(gemini: DataFrame) -> DataFrame:
                 bare, notes = strip_marks(text or "")
                 lead, after = lead_label(bare)
                 whole = clean_words(bare)
+                after = None if lead is None else clean_words(after)
                 at = r.start_s if r.start_s == r.start_s and r.start_s is not None else written_time(text)
-                out.append((r.gem_id, r.lecture_id, at, r.end_s, label_key(r.speaker if isinstance(r.speaker, str) else None), lead, whole,
-                            None if lead is None else clean_words(after), " ".join(plain(n) for n in notes) or None,
-                            bool(notes) and bool(HESITATION.search(bare)), text is not None))
+                out.append((r.gem_id, r.lecture_id, at, r.end_s, label_key(r.speaker if isinstance(r.speaker, str) else None), lead, whole, after, squeezed(whole),
+                            None if after is None else squeezed(after), " ".join(plain(n) for n in notes) or None, bool(notes) and bool(HESITATION.search(bare)), text is not None))
             yield pd.DataFrame(out, columns=[x.split()[0] for x in PARSED.split(", ")])
 
     # The first to arrive of repeated keys; they are alike in what is read here.
     rows = (gemini.select("gem_id", "lecture_id", "speaker", "text", F.col("start_s").cast("double").alias("start_s"), F.col("end_s").cast("double").alias("end_s"))
             .filter("gem_id is not null and lecture_id is not null").dropDuplicates(["gem_id"]))
-    return rows.mapInPandas(run, PARSED)
+    hashes = {f"{k}_hash": F.xxhash64(f"{k}_key") for k in ("whole", "after")} | {f"{k}_len": F.length(f"{k}_key") for k in ("whole", "after")}
+    return rows.mapInPandas(run, PARSED).withColumns(hashes)
 
 
 class Union:
@@ -242,20 +249,28 @@ def speakers(parsed: DataFrame) -> DataFrame:
     return seen.groupBy("lecture_id").applyInPandas(one, "lecture_id string, label string, speaker string")
 
 
-def attributed(gemini: DataFrame) -> DataFrame:
-    """Parsed records with ``speaker`` (canonical, null if none is known), ``text`` (clean), ``speech`` and ``blk``.
+def attributed(parsed: DataFrame) -> DataFrame:
+    """Parsed records with ``speaker`` (canonical, null if none is known), ``led`` (a label leads the text), ``speech``, ``blk``.
 
     The record's own label counts, else the label that leads its text if it names a speaker of the lecture, else the
-    speaker of the speech record before.
+    speaker of the speech record before. Texts stay behind: what is ordered and joined here are ids, labels, lengths and
+    hashes; :func:`with_text` fetches the text of the rows that need it.
     """
-    parsed = checkpointed(parse(gemini))
     names = speakers(parsed)
-    own = salted_join(parsed, names.select("lecture_id", F.col("label").alias("own"), F.col("speaker").alias("_own")), ["lecture_id", "own"], F.col("gem_id"))
+    rows = parsed.select("gem_id", "lecture_id", "own", "lead", "start_s", "end_s", "hesitant", "has_text", F.xxhash64("note").alias("note_hash"), F.col("note").isNotNull().alias("noted"),
+                         "whole_hash", "after_hash", "whole_len", "after_len")
+    own = salted_join(rows, names.select("lecture_id", F.col("label").alias("own"), F.col("speaker").alias("_own")), ["lecture_id", "own"], F.col("gem_id"))
     both = salted_join(own, names.select("lecture_id", F.col("label").alias("lead"), F.col("speaker").alias("_lead")), ["lecture_id", "lead"], F.col("gem_id"))
     led = F.col("_lead").isNotNull()
-    text = F.when(led, F.col("after")).otherwise(F.col("whole"))
-    told = both.withColumns({"text": text, "named": F.coalesce("_own", "_lead"), "speech": F.coalesce(text.rlike(r"[\p{L}\p{N}]"), F.lit(False)),
-                             "blk": F.floor(F.col(ORDER) / BLOCK_IDS)})
-    filled = block_last(told, ["lecture_id"], "blk", [F.col(ORDER)], "carried", F.when(F.col("speech"), F.col("named")), inclusive=False)
-    return checkpointed(filled.withColumn("speaker", F.coalesce("named", "carried")).select(
-        "gem_id", "lecture_id", "start_s", "end_s", "speaker", "text", "speech", "note", "hesitant", "has_text", "blk"))
+    size = F.when(led, F.col("after_len")).otherwise(F.col("whole_len"))
+    told = both.select("gem_id", "lecture_id", "start_s", "end_s", led.alias("led"), F.coalesce("_own", "_lead").alias("named"), (size > 0).alias("speech"), size.alias("size"),
+                       F.when(led, F.col("after_hash")).otherwise(F.col("whole_hash")).alias("hash"), "noted", "note_hash", "hesitant", "has_text", F.floor(F.col(ORDER) / BLOCK_IDS).alias("blk"))
+    filled = block_last(checkpointed(told), ["lecture_id"], "blk", [F.col(ORDER)], "carried", F.when(F.col("speech"), F.col("named")), inclusive=False)
+    return checkpointed(filled.withColumn("speaker", F.coalesce("named", "carried")).drop("named", "carried"))
+
+
+def with_text(rows: DataFrame, parsed: DataFrame, ident: str = "gem_id", keys: bool = False) -> DataFrame:
+    """``rows`` (with ``ident`` and ``led``) with ``text``, the clean text of that record, or its squeezed words (``keys``)."""
+    a, b = ("after_key", "whole_key") if keys else ("after", "whole")
+    told = parsed.select(F.col("gem_id").alias(ident), F.col(a).alias("_a"), F.col(b).alias("_b"))
+    return rows.join(told, ident).withColumn("text", F.when(F.col("led"), F.col("_a")).otherwise(F.col("_b"))).drop("_a", "_b")
