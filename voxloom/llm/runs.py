@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -80,18 +82,32 @@ def runs(gemini: DataFrame, texts: bool = True) -> DataFrame:
     sized = nodes.join(nodes.groupBy("lecture_id", "chain").agg(F.count("*").alias("m")), ["lecture_id", "chain"])
     cols = ["lecture_id", "speaker", "first_gem_id", "last_gem_id", "n", "start_s", "end_s", "led"]
 
-    def cut(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("node")
-        out = []
-        for a, b in segment(["w:" + t for t in pdf["text"]], list(pdf["n"])):
-            part = pdf.iloc[a:b + 1]
-            r = part.iloc[0]
-            out.append((r["lecture_id"], r["speaker"], r["first_gem_id"], part["last_gem_id"].iloc[-1], part["n"].sum(), part["start_s"].min(), part["end_s"].max(), r["led"]))
-        return pd.DataFrame(out, columns=cols)
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Chains come whole and in order within a task; one may go over the end of a batch."""
+        held: list = []
+
+        def close() -> list:
+            out = []
+            for a, b in segment(["w:" + r.text for r in held], [r.n for r in held]) if held else []:
+                part, r = held[a:b + 1], held[a]
+                starts, ends = [x.start_s for x in part if x.start_s == x.start_s], [x.end_s for x in part if x.end_s == x.end_s]
+                out.append((r.lecture_id, r.speaker, r.first_gem_id, part[-1].last_gem_id, sum(x.n for x in part), min(starts, default=None), max(ends, default=None), r.led))
+            return out
+
+        for pdf in batches:
+            out = []
+            for r in pdf.itertuples(index=False):
+                if held and (held[-1].chain, held[-1].lecture_id) != (r.chain, r.lecture_id):
+                    out += close()
+                    held = []
+                held.append(r)
+            yield pd.DataFrame(out, columns=cols)
+        yield pd.DataFrame(close(), columns=cols)
 
     schema = "lecture_id string, speaker string, first_gem_id bigint, last_gem_id bigint, n bigint, start_s double, end_s double, led boolean"
     # Only spoken events form chains of several nodes; their words are fetched by their first records.
-    many = with_text(sized.filter("m > 1"), parsed, "first_gem_id", keys=True).groupBy("lecture_id", "chain").applyInPandas(cut, schema)
+    many = (with_text(sized.filter("m > 1"), parsed, "first_gem_id", keys=True).select(*cols, "chain", "node", "text")
+            .repartition("lecture_id", "chain").sortWithinPartitions("lecture_id", "chain", "node").mapInPandas(cut, schema))
     out = (sized.filter("m = 1").select(*cols).unionByName(many)
            .withColumn("duration_s", F.round(F.greatest(F.col("end_s") - F.col("start_s"), F.lit(0.0)), 3)))
     return with_text(out, parsed, "first_gem_id").drop("led") if texts else out.drop("led")
