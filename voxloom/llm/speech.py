@@ -29,6 +29,8 @@ _HERE = r"(?<![\w'’\-].)"
 HESITATION = re.compile(rf"(?:u{_HERE}u*(?:h+[\- ]huh+|h-uh|h+|m+)|m{_HERE}m*(?:[\- ]?h+m+|m)|h{_HERE}h*m+|e{_HERE}(?:e*r+m*|e*h+)|a{_HERE}a*h+)(?![\w'’])(?:\s*(?:\.{{2,}}|…|,))?", re.I)
 _MARKS = re.compile(r"[\[(<{*♪♫♬]|\d:\d")
 LEAD = re.compile(r"^\s*[\"'“]?(\*{0,2}[^:\n]{1,60}?\*{0,2})\s*:\s+")
+#: What can name a speaker though no label column does: two or three capitalised words.
+_PROPER = re.compile(r"^\W*[^\W\d_a-zß-ÿ][\w'’\-]*(?: [^\W\d_a-zß-ÿ][\w'’\-]*){1,2}\W*$")
 _NUMBER = re.compile(r"^(?:speaker|spkr|spk|sp|s)[\s_\-.#]*0*(\d{1,6})$")
 # What stands for no speaker.
 NOBODY = {"", "-", "--", "—", "?", "??", "unknown", "unknown speaker", "n/a", "na", "none", "null", "nan", "speaker", "unidentified", "unclear", "tbd", "anonymous", "no speaker"}
@@ -79,6 +81,12 @@ def strip_marks(text: str) -> tuple[str, list[str]]:
     return TIME.sub(" ", text.strip()), notes
 
 
+def names_speaker(text: str) -> bool:
+    """Is the label that leads a text a full name by its looks."""
+    m = LEAD.search(text) if ":" in text else None
+    return bool(m and _PROPER.match(m[1]))
+
+
 def lead_label(text: str) -> tuple[str | None, str]:
     """The key of a label that may lead the text (marks taken off), and the text after it."""
     if ":" not in text:
@@ -110,7 +118,7 @@ def words_of(text: str) -> list[str]:
 
 
 PARSED = ("gem_id bigint, lecture_id string, start_s double, end_s double, own string, lead string, whole string, after string, whole_key string, after_key string, "
-          "note string, hesitant boolean, has_text boolean")
+          "note string, hesitant boolean, has_text boolean, lead_named boolean")
 
 
 def squeezed(text: str) -> str:
@@ -135,7 +143,8 @@ def parse(gemini: DataFrame) -> DataFrame:
                 after = None if lead is None else clean_words(after)
                 at = r.start_s if r.start_s == r.start_s and r.start_s is not None else written_time(text)
                 out.append((r.gem_id, r.lecture_id, at, r.end_s, label_key(r.speaker if isinstance(r.speaker, str) else None), lead, whole, after, squeezed(whole),
-                            None if after is None else squeezed(after), " ".join(plain(n) for n in notes) or None, bool(notes) and bool(HESITATION.search(bare)), text is not None))
+                            None if after is None else squeezed(after), " ".join(plain(n) for n in notes) or None, bool(notes) and bool(HESITATION.search(bare)), text is not None,
+                            lead is not None and names_speaker(bare)))
             yield pd.DataFrame(out, columns=[x.split()[0] for x in PARSED.split(", ")])
 
     # The first to arrive of repeated keys; they are alike in what is read here.
@@ -182,7 +191,8 @@ def cluster_labels(keys: list[str], counts: list[int], sure: list[bool] | None =
     Numbers stand for themselves. Full names (two words or more) are joined when equal but for one letter in one long
     word. An initial with a surname joins the one full name it fits, a single word the one name that has it as given name
     or surname, by likeness where no name has it exactly. A form that fits two different speakers stays by itself.
-    Keys that are not ``sure`` (seen only in front of a text) may join a speaker but make none, unless numbered.
+    Keys that are not ``sure`` (seen only in front of a text, without the looks of a full name) may join a speaker but make
+    none, unless numbered.
     """
     sure = sure or [True] * len(keys)
     weight = dict(zip(keys, counts, strict=True))
@@ -237,7 +247,7 @@ def speakers(parsed: DataFrame) -> DataFrame:
 
     Labels are counted before they are gathered, so a lecture's group holds its distinct labels only.
     """
-    seen = (parsed.select("lecture_id", F.explode(F.array(F.struct(F.col("own").alias("label"), F.lit(1).alias("sure")), F.struct(F.col("lead").alias("label"), F.lit(0).alias("sure")))).alias("x"))
+    seen = (parsed.select("lecture_id", F.explode(F.array(F.struct(F.col("own").alias("label"), F.lit(1).alias("sure")), F.struct(F.col("lead").alias("label"), F.col("lead_named").cast("int").alias("sure")))).alias("x"))
             .filter("x.label is not null").groupBy("lecture_id", F.col("x.label").alias("label")).agg(F.count("*").alias("n"), F.max("x.sure").alias("sure")))
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
