@@ -46,3 +46,15 @@ def test_salted_join_keeps_unmatched_and_null_keys(spark):
 def test_ms(spark):
     df = spark.createDataFrame([(1.2345,), (None,), (float("nan"),), (float("inf"),)], "s double")
     assert [r[0] for r in df.select(scan.ms(F.col("s"))).collect()] == [1235, None, None, None] or [r[0] for r in df.select(scan.ms(F.col("s"))).collect()] == [1234, None, None, None]
+
+
+def test_checkpoints_are_tables_and_can_be_dropped(spark):
+    from pathlib import Path
+
+    from voxloom import session
+
+    session.drop_checkpoints(spark)
+    out = session.checkpointed(spark.createDataFrame([(1, None), (2, "x")], "a int, b string"))
+    path = session._WRITTEN[spark.sparkContext.applicationId][0]
+    assert rows(out) == [(1, None), (2, "x")] and Path(path).exists()
+    assert session.drop_checkpoints(spark) == 1 and not Path(path).exists()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -11,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
 _FOLDERS: dict[str, str] = {}
+_WRITTEN: dict[str, list[str]] = {}
 
 
 def ship(spark: SparkSession) -> SparkSession:
@@ -38,6 +41,7 @@ def shared_folder(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _FOLDERS:
         _FOLDERS[app] = tempfile.mkdtemp(prefix="voxloom-checkpoint-")
+        atexit.register(shutil.rmtree, _FOLDERS[app], ignore_errors=True)
     return _FOLDERS[app]
 
 
@@ -48,5 +52,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     and, unlike an RDD checkpoint, computes once and lets later steps read single columns.
     """
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/voxloom-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_checkpoints(spark: SparkSession) -> int:
+    """Delete the tables that :func:`checkpointed` wrote in this session, once no result needs them; return how many."""
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    return len(paths)
