@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.llm.tokens import TOKENIZER, with_token_counts
-from voxloom.operators.scan import block_scan
+from voxloom.operators.scan import block_scan, salted_join
 from voxloom.session import checkpointed
 
 #: Hash ranges into which a leaf's documents are cut for the running sum of tokens.
@@ -102,7 +102,7 @@ def mix(docs: DataFrame, targets: DataFrame, tokenizer: str = TOKENIZER, seed: i
     place = F.xxhash64("doc_id", F.lit(seed))
     ordered = sized.withColumns({"_h": place, "_b": F.shiftrightunsigned(place, 64 - BLOCKS.bit_length() + 1)})
     run = block_scan(ordered, ["doc_source", "lang"], "_b", [F.col("_h"), F.col("doc_id")], sums={"upto": F.col("n_tokens")})
-    taken = run.join(F.broadcast(plan), ["doc_source", "lang"]).withColumn("m", F.explode("mixes"))
+    taken = salted_join(run, plan, ["doc_source", "lang"], F.col("doc_id"), how="inner").withColumn("m", F.explode("mixes"))
     middle = F.col("upto") - F.col("n_tokens") / 2
     return (taken.withColumn("repeats", (F.col("m.epochs") + F.when(middle < F.col("m.need"), 1).otherwise(0)).cast("int")).filter("repeats > 0")
             .select("m.mix_name", "doc_source", "lang", "doc_id", "n_tokens", "repeats"))

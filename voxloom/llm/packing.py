@@ -16,12 +16,13 @@ from voxloom.session import checkpointed
 SHARD_ITEMS = 20_000
 
 
-def best_fit(sizes: np.ndarray, capacity: int, max_items: int, max_cost: float, rule: str = "dot") -> np.ndarray:
+def best_fit(sizes: np.ndarray, capacity: int, max_items: int, max_cost: float, rule: str = "norm") -> np.ndarray:
     """Container number of each item (sizes at most ``capacity``), largest items first.
 
     Every container has three residuals: tokens, items and attention cost (squares of item lengths). An item goes to an
-    open container where it fits in all three; of these the one with the largest weighted dot product of item and residual
-    (``dot``), or the least residual norm after it (``norm``), scaled by the capacities. Full containers are closed.
+    open container where it fits in all three: the one with the least norm of the residuals left after it (``norm``), or with
+    the largest dot product of the item and what is taken (``dot``), both scaled by the capacities. Full containers are
+    closed. An item whose cost alone is over the limit opens a container that then takes no other.
     """
     n = len(sizes)
     order = np.argsort(-sizes, kind="stable")
@@ -57,7 +58,7 @@ def best_fit(sizes: np.ndarray, capacity: int, max_items: int, max_cost: float,
     return out
 
 
-def pack(docs: DataFrame, plans: DataFrame, tokenizer: str = TOKENIZER, max_items: int = 4096, cost_share: float = 1.0, rule: str = "dot",
+def pack(docs: DataFrame, plans: DataFrame, tokenizer: str = TOKENIZER, max_items: int = 4096, cost_share: float = 1.0, rule: str = "norm",
          shard_items: int = SHARD_ITEMS) -> DataFrame:
     """``plan_name, container, doc_id, part, token_from, n_tokens, split``: where every document goes under every plan.
 
@@ -87,8 +88,7 @@ def pack(docs: DataFrame, plans: DataFrame, tokenizer: str = TOKENIZER, max_item
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("doc_id")
         cap, sizes = int(pdf["cap"].iloc[0]), pdf["rest"].to_numpy(dtype=np.int64)
-        limit = max(cost_share * cap * cap, float(sizes.max()) ** 2)
-        got = best_fit(sizes, cap, max_items, limit, rule)
+        got = best_fit(sizes, cap, max_items, cost_share * cap * cap, rule)
         shard = pdf["shard"].iloc[0]
         return pd.DataFrame({"plan_name": pdf["plan_name"], "container": [f"s-{shard}-{g}" for g in got], "doc_id": pdf["doc_id"], "part": pdf["full"].astype("int32"),
                              "token_from": pdf["full"] * cap, "n_tokens": sizes, "split": pdf["full"] > 0})
@@ -101,7 +101,7 @@ def fill(packed: DataFrame, plans: DataFrame) -> DataFrame:
     """``plan_name, containers, items, tokens, fill``: the share of all containers' room that holds tokens."""
     return (packed.groupBy("plan_name", "container").agg(F.sum("n_tokens").alias("t"), F.count("*").alias("i")).groupBy("plan_name")
             .agg(F.count("*").alias("containers"), F.sum("i").alias("items"), F.sum("t").alias("tokens"))
-            .join(F.broadcast(plans.select("plan_name", "capacity_tokens")), "plan_name")
+            .join(plans.select("plan_name", "capacity_tokens").filter("capacity_tokens > 0").dropDuplicates(["plan_name"]), "plan_name")
             .select("plan_name", "containers", "items", "tokens", F.round(F.col("tokens") / (F.col("containers") * F.col("capacity_tokens")), 6).alias("fill")))
 
 
