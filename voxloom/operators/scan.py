@@ -4,7 +4,9 @@ A window over ``PARTITION BY key ORDER BY t`` sorts all rows of a key in one tas
 task. The functions here cut every key into blocks by a coarse, monotone function of the order column (a time range,
 an id range, hash bits). Each block is summarised by partial aggregation, the small block summaries are scanned per key,
 and the carried value is joined back to the rows of the block, where an ordinary window over (key, block) finishes the
-scan. Both uses of the rows read one exchange on (key, block).
+scan. Summaries are partial aggregates, so the rows themselves move once, to their (key, block), and not at all if they
+already are there, as after another scan of the same blocks. A scan reads its input twice: inputs that are dear to compute
+are written first (``session.checkpointed``).
 
 Keys and block must not be null; callers filter or coalesce them.
 """
@@ -17,10 +19,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _blocked(df: DataFrame, keys: list[str], block: str) -> DataFrame:
-    return df.repartition(*[F.col(k) for k in [*keys, block]])
-
-
 def block_scan(df: DataFrame, keys: list[str], block: str, order: list[Column], sums: dict[str, Column] | None = None,
                maxs: dict[str, Column] | None = None) -> DataFrame:
     """Inclusive running sums and maxima per ``keys`` in the order of (block, order).
@@ -29,7 +27,7 @@ def block_scan(df: DataFrame, keys: list[str], block: str, order: list[Column],
     maxima. ``order`` should be total inside a block; tied rows are scanned in any order.
     """
     sums, maxs = sums or {}, maxs or {}
-    rows = _blocked(df.withColumns({f"_v_{n}": e for n, e in (sums | maxs).items()}), keys, block)
+    rows = df.withColumns({f"_v_{n}": e for n, e in (sums | maxs).items()})
     totals = rows.groupBy(*keys, block).agg(
         *[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums], *[F.max(f"_v_{n}").alias(f"_t_{n}") for n in maxs])
     before = Window.partitionBy(*keys).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
@@ -50,7 +48,7 @@ def block_lag(df: DataFrame, keys: list[str], block: str, order: list[Column], c
     ``cols`` maps output names to expressions of the current row.
     """
     packed = F.struct(*[e.alias(n) for n, e in cols.items()])
-    rows = _blocked(df.withColumns({"_o": F.struct(*order), "_p": packed}), keys, block)
+    rows = df.withColumns({"_o": F.struct(*order), "_p": packed})
     last = rows.groupBy(*keys, block).agg(F.max_by("_p", "_o").alias("_l"))
     carry = last.select(*keys, block, F.lag("_l").over(Window.partitionBy(*keys).orderBy(block)).alias("_c"))
     inside = F.lag("_p").over(Window.partitionBy(*keys, block).orderBy("_o"))
@@ -61,7 +59,7 @@ def block_lag(df: DataFrame, keys: list[str], block: str, order: list[Column], c
 def block_last(df: DataFrame, keys: list[str], block: str, order: list[Column], name: str, value: Column,
                inclusive: bool = True) -> DataFrame:
     """``name``: the last non-null ``value`` at or before the row (before it, if not ``inclusive``)."""
-    rows = _blocked(df.withColumns({"_o": F.struct(*order), "_v": value}), keys, block)
+    rows = df.withColumns({"_o": F.struct(*order), "_v": value})
     last = rows.groupBy(*keys, block).agg(F.max_by("_v", F.when(F.col("_v").isNotNull(), F.col("_o"))).alias("_l"))
     up = Window.partitionBy(*keys).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
     carry = last.select(*keys, block, F.last("_l", ignorenulls=True).over(up).alias("_c"))
