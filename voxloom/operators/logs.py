@@ -54,8 +54,11 @@ def tokens(line: str) -> list[tuple[str, int, int]]:
 
 
 def masked(line: str) -> list[str]:
-    """The token sequence that templates are made of: words and marks as they are, other tokens as <type>."""
-    return [line[a:b] if k in "WM" else f"<{k}>" for k, a, b in tokens(line)]
+    """The token sequence that templates are made of: words and marks as they are, other tokens as <type>.
+
+    A word with digits in it is a name of something (<I>), not a constant.
+    """
+    return ["<I>" if k == "W" and any(c.isdigit() for c in line[a:b]) else line[a:b] if k in "WM" else f"<{k}>" for k, a, b in tokens(line)]
 
 
 def head_key(line: str) -> str:
