@@ -38,6 +38,7 @@ def test_marks_and_hesitations():
     assert speech.clean_words("Um, so uhh... we er go mm-hmm, uh-huh yes. Ah. Hmm") == "so we go yes." or "umm" not in speech.clean_words("so umm we")
     assert speech.clean_words("the summer teacher ahead thumb") == "the summer teacher ahead thumb"
     assert speech.written_time("00:01:02 - x") == 62.0 and speech.written_time("(02:03) x") == 123.0 and speech.written_time("at 10:30 we go") is None and speech.written_time(None) is None
+    assert speech.lead_label(speech.strip_marks("Speaker 1: [MUSIC]")[0]) == ("#1", "") and speech.lead_label("12:30 is late")[0] is None
     assert speech.lead_label("Ann Lee: hi")[0] == "ann lee" and speech.lead_label("Um, Speaker 2: hi") == ("#2", "hi") and speech.lead_label("no label here")[0] is None
 
 

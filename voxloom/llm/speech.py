@@ -28,7 +28,7 @@ _HERE = r"(?<![\w'’\-].)"
 #: Each branch begins with a letter, so that the search skips to candidates; the place before it is looked at after that.
 HESITATION = re.compile(rf"(?:u{_HERE}u*(?:h+[\- ]huh+|h-uh|h+|m+)|m{_HERE}m*(?:[\- ]?h+m+|m)|h{_HERE}h*m+|e{_HERE}(?:e*r+m*|e*h+)|a{_HERE}a*h+)(?![\w'’])(?:\s*(?:\.{{2,}}|…|,))?", re.I)
 _MARKS = re.compile(r"[\[(<{*♪♫♬]|\d:\d")
-LEAD = re.compile(r"^\s*[\"'“]?(\*{0,2}[^:\n]{1,60}?\*{0,2})\s*:\s+")
+LEAD = re.compile(r"^\s*[\"'“]?(\*{0,2}[^:\n]{1,60}?\*{0,2})\s*:(?:\s+|$)")
 #: What can name a speaker though no label column does: two or three capitalised words.
 _PROPER = re.compile(r"^\W*[^\W\d_a-zß-ÿ][\w'’\-]*(?: [^\W\d_a-zß-ÿ][\w'’\-]*){1,2}\W*$")
 _NUMBER = re.compile(r"^(?:speaker|spkr|spk|sp|s)[\s_\-.#]*0*(\d{1,6})$")
