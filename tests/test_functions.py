@@ -98,3 +98,14 @@ def test_split_text_keeps_all_words(text, most):
     parts = split_text(text, most)
     assert " ".join(parts).split() == text.split()
     assert all(len(p) <= most or " " not in p for p in parts)
+
+
+def test_sql_functions(spark):
+    from voxloom.functions.udfs import register
+
+    register(spark)
+    assert [tuple(r) for r in spark.sql("select * from split_text('Aa bb. Cc dd. Ee.', 14)").collect()] == [(0, "Aa bb. Cc dd."), (1, "Ee.")]
+    assert spark.sql("select lcs_length(array('a', 'b', 'c'), array('b', 'x', 'c')), lcs_length(null, array('a'))").first()[:] == (2, None)
+    df = spark.createDataFrame([(1, "Aa. Bb."), (2, None)], "i int, t string")
+    df.createOrReplaceTempView("texts_for_split")
+    assert [tuple(r) for r in spark.sql("select i, chunk from texts_for_split, lateral split_text(t, 4)").collect()] == [(1, "Aa."), (1, "Bb.")]

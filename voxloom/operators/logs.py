@@ -10,6 +10,7 @@ level, component and message stand. Token shapes (how a time or a level is writt
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -162,20 +163,23 @@ class Shapes:
 
 
 class Clusters:
-    """Templates by head key, joined as they come."""
+    """Templates by head key and first token, joined as they come."""
 
     def __init__(self, limit: int = OPEN_TEMPLATES):
-        self.of: dict[str, list[list]] = {}
+        self.of: dict[tuple[str, str], list[list]] = {}
         self.size, self.limit = 0, limit
 
     def add(self, key: str, seq: list[str], n: int, example: str) -> list[tuple[str, list[str], int, str]]:
         """Count ``seq``; return the templates that had to leave."""
-        here = self.of.setdefault(key, [])
+        here, bag = self.of.setdefault((key, seq[0]), []), Counter(seq)
         for t in here:
-            if (both := join_templates(t[0], seq)) is not None:
-                t[0], t[1] = both, t[1] + n
+            # Tokens in common bound the common subsequence, and are far cheaper to count.
+            if (t[3] & bag).total() >= SIMILAR * max(len(t[0]), len(seq)) and (both := join_templates(t[0], seq)) is not None:
+                if both != t[0]:
+                    t[0], t[3] = both, Counter(both)
+                t[1] += n
                 return []
-        here.append([seq, n, example])
+        here.append([seq, n, example, bag])
         self.size += 1
         return self.flush(self.limit // 2) if self.size > self.limit else []
 
@@ -185,7 +189,7 @@ class Clusters:
         for k, t in every[:keep]:
             self.of.setdefault(k, []).append(t)
             self.size += 1
-        return [(k, *t) for k, t in every[keep:]]
+        return [(k[0], *t[:3]) for k, t in every[keep:]]
 
 
 def slots(line: str) -> dict:
@@ -262,7 +266,8 @@ def templates(lines: DataFrame) -> DataFrame:
     """Merged templates: ``head_key, template, n_lines, example``.
 
     Partition templates are few (distinct masked sequences, joined by likeness); they are counted by text before they meet,
-    and those of one head key are merged in one group. Templates grow with the number of layouts, not of lines.
+    and those of one head key and first token are merged in one group. Templates grow with the number of layouts, not of
+    lines; free text makes many, which the first token spreads.
     """
     def mine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         book, memo, out = Clusters(), {}, []
@@ -302,7 +307,7 @@ def templates(lines: DataFrame) -> DataFrame:
     schema = "head_key string, template string, n_lines bigint, example string"
     local = lines.select("raw_line").mapInPandas(mine, schema)
     counted = local.groupBy("head_key", "template").agg(F.sum("n_lines").alias("n_lines"), F.min("example").alias("example"))
-    return counted.groupBy("head_key").applyInPandas(merge, schema)
+    return counted.groupBy("head_key", F.substring_index("template", "\x1f", 1).alias("first")).applyInPandas(merge, schema)
 
 
 def layouts(mined: DataFrame) -> DataFrame:
