@@ -25,6 +25,10 @@ NEVER_ENDS, OFTEN_ENDS = 0.004, 0.3
 #: A text spoken slower than this share of its corpus' slow pace (first percentile of whole texts) has lost words.
 SLOW, VERY_SLOW = 0.95, 0.75
 LEAST_CHARS = 40
+#: Other sources have seen a word so often that its neighbours are known.
+WELL_KNOWN = 200
+#: A source of whose texts so large a share is broken off for sure.
+BREAKING = 0.002
 #: A shorter remark that nobody else has made is taken to be whole.
 LEAST_WORDS = 6
 
@@ -151,8 +155,9 @@ def truncated(df: DataFrame, ident: str = "gem_id", source: str = "route", text:
     1. Length histograms per source, in characters and bytes, show the limits as spikes of open texts (see :func:`spikes`).
        A text of a spike's length that isn't closed is cut ('limit'), whether or not the source put an ellipsis there.
     2. Other texts that end in half a character or escape, in a comma, or in words after which texts of *other* sources
-       hardly ever end, are cut ('broken', 'comma', 'words'); where the words alone leave it open, the text's pace decides
-       ('pace'): what was spoken for long but says little has lost its end. Words nobody else has seen are half words.
+       hardly ever end, are cut ('broken', 'comma', 'words'); words nobody else has seen there are half words. Where the
+       words leave it open, and the source is known to break texts off, the text's pace decides ('pace'): what was spoken
+       for long but says little has lost its end.
 
     Ellipses and dashes away from the limits are speakers who trail off. Texts without words are never cut. Null and empty
     texts are whole, null sources count as one source '?', repeated ids count once, and empty tables give no rows.
@@ -183,20 +188,23 @@ def truncated(df: DataFrame, ident: str = "gem_id", source: str = "route", text:
         classify, "id bigint, source string, pace double, len_c int, len_b int, spike boolean, how string, n_words int, last array<string>"))
     asked = judged.filter("how = 'open' and not spike").select("id", "source", F.posexplode("last").alias("k", "gram"))
     known = (asked.join(others, ["gram", "source"]).filter(F.col("n") >= LEAST_SEEN).groupBy("id")
-             .agg(F.max_by(F.struct(F.col("k"), (F.col("ends") / F.col("n")).alias("p")), "k").alias("best")))
+             .agg(F.max_by(F.struct(F.col("k"), (F.col("ends") / F.col("n")).alias("p")), "k").alias("best"), F.max(F.when(F.col("k") == 0, F.col("n"))).alias("n_last")))
     full = judged.join(known, "id", "left").crossJoin(F.broadcast(slow))
     # How many of its last words (up to three) others know: fewer than the text has means that they never met together.
     p, depth = F.col("best.p"), F.coalesce(F.col("best.k") + 1, F.lit(0))
     whole = F.size("last") == depth
-    lost = F.col("pace") < F.col("slow")
-    reason = (F.when(F.col("how") == "none", F.lit(None)).when(F.col("spike"), "limit").when(F.col("how").isin("broken", "comma"), F.col("how"))
+    sure = (F.when(F.col("how") == "none", F.lit(None)).when(F.col("spike"), "limit").when(F.col("how").isin("broken", "comma"), F.col("how"))
               .when(F.col("how") != "open", F.lit(None))
               .when(depth == 0, F.when(F.col("n_words") >= LEAST_WORDS, "words"))
               .when(p < NEVER_ENDS, "words")
               .when(~whole & (p < OFTEN_ENDS) & (F.col("n_words") >= LEAST_WORDS), "words")
-              .when((p < OFTEN_ENDS) & (F.col("pace") < SLOW * F.col("slow")), "pace")
-              .when((p >= OFTEN_ENDS) & (F.col("pace") < VERY_SLOW * F.col("slow")), "pace"))
-    return full.withColumn("reason", reason).select("id", "source", F.col("reason").isNotNull().alias("cut"), "reason", "len_c", "len_b")
+              # A well-known last word that never followed the one before it anywhere else is the first half of another.
+              .when((depth == 1) & ~whole & (F.col("n_last") >= WELL_KNOWN), "words"))
+    first = full.withColumns({"sure": sure, "doubt": F.coalesce((F.col("how") == "open") & ((p < OFTEN_ENDS) & (F.col("pace") < SLOW * F.col("slow")) | (p >= OFTEN_ENDS) & (F.col("pace") < VERY_SLOW * F.col("slow"))), F.lit(False))})
+    # The pace speaks only against sources that are known to break texts off.
+    breaking = first.groupBy("source").agg((F.count_if(F.col("sure").isin("broken", "comma", "words")) / F.count("*")).alias("breaks"))
+    reason = F.when(F.col("sure").isNotNull(), F.col("sure")).when(F.col("doubt") & (F.col("breaks") >= BREAKING), "pace")
+    return first.join(breaking, "source").withColumn("reason", reason).select("id", "source", F.col("reason").isNotNull().alias("cut"), "reason", "len_c", "len_b")
 
 
 def by_source(judged: DataFrame, totals: DataFrame, source: str = "route") -> DataFrame:
