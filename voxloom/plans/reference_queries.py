@@ -333,6 +333,16 @@ def chunk_2800(spark, sf):
     return chunk.chunked(table(spark, sf, "documents").select("doc_id", "text"), "text", P.max_chars).select("doc_id", "chunk_no", "chunk")
 
 
+@query(r"""with d as (select doc_id, list_transform(string_split(regexp_replace(text, '([.!?])[ \t\n\x0B\f\r]+', '\1' || chr(1), 'g'), chr(1)), lambda z: {'n': 0, 'cur': z}) as l from documents where text is not null),
+ f as (select doc_id, list_reduce(l, lambda a, z: case when length(a.cur) + length(z.cur) + 1 <= 2800 then {'n': a.n, 'cur': case when a.cur = '' then z.cur else a.cur || ' ' || z.cur end}
+   else {'n': a.n + case when a.cur = '' then 0 else 1 end, 'cur': z.cur} end) as r from d)
+select doc_id, cast(r.n + case when r.cur = '' then 0 else 1 end as integer) as chunks, cast(length(r.cur) as integer) as last_length from f""")
+def chunk_fold(spark, sf):
+    """Sentences of each document packed by a fold in the JVM: number of chunks and length of the last."""
+    d = chunk.chunk_counts(table(spark, sf, "documents").filter("text is not null").select("doc_id", "text"), "text", P.max_chars)
+    return d.select("doc_id", F.size("chunks").alias("chunks"), F.coalesce(F.length(F.try_element_at("chunks", F.lit(-1))), F.lit(0)).alias("last_length"))
+
+
 @query(r"""with g as (select distinct gem_id, cast(round(start_s * 1000) as bigint) as s, cast(round(end_s * 1000) as bigint) as e, trim(text) as text from gemini
    where start_s is not null and end_s is not null and end_s >= start_s and trim(text) <> ''),
  p as (select gem_id, s, e, string_split(regexp_replace(text, '([.!?])[ \t\n\x0B\f\r]+', '\1' || chr(1), 'g'), chr(1)) as l from g),
