@@ -35,7 +35,8 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only where neither names one, as in tests on one machine, a folder of this machine is made.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if named:
         return named
     app = spark.sparkContext.applicationId
