@@ -61,3 +61,10 @@ def test_lcs_and_join():
     assert logs.lcs(list("axbyc"), list("abzc")) == [(0, 0), (2, 1), (4, 3)]
     assert logs.join_templates("a b c d".split(), "a x c d".split()) == ["a", "<*>", "c", "d"]
     assert logs.join_templates("a b".split(), "x y z w q".split()) is None
+
+
+def test_long_entries_come_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(logs, "BLOCK_LINES", 4)
+    data = [(i, "a", i, "[DONE] x" if i in (2, 12) else f"line {i}" if i != 11 else "") for i in range(1, 14)]
+    got = rows(logs.entries(spark.createDataFrame(data, "line_id long, log_name string, line_no int, raw_line string")), "first_line_id", "last_line_id", "n_lines", "part_no", "kind", "message")
+    assert got == [(12, 13, 2, 0, "tag", "[DONE] x\nline 13"), (2, 10, 9, 0, "tag", "[DONE] x\nline 3"), (2, 10, 9, 1, "tag", "line 4\nline 5\nline 6\nline 7"), (2, 10, 9, 2, "tag", "line 8\nline 9\nline 10")]

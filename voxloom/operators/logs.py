@@ -349,26 +349,30 @@ def entry_bounds(lines: DataFrame) -> DataFrame:
 
 
 def entries(lines: DataFrame) -> DataFrame:
-    """Every entry with ``log_name, first_line_id, last_line_id, n_lines, kind, time, level, component, message``.
+    """Entries with ``log_name, first_line_id, last_line_id, n_lines, part_no, kind, time, level, component, message``.
+
+    An entry is one row (``part_no`` 0). Only where its lines lie in several blocks of ``BLOCK_LINES`` line numbers does the
+    message go on in further rows, ``part_no`` 1, 2, ..., so that no row and no task holds an endless entry.
 
     Lines before a log's first head belong to no entry. Blank lines at an entry's end are left out; blank lines inside
     stay in its message. Null lines count as blank. Lines without log_name or line_no are left out, and of lines that agree
     in both, one counts. Empty tables give no rows.
     """
     ordered, solid = _assigned(lines), F.col("solid")
-    line = F.struct("line_no", "line_id", "raw_line")
-    whole = ordered.groupBy("log_name", "entry").agg(
+    bounds = ordered.groupBy("log_name", "entry").agg(
         F.min_by("line_id", "line_no").alias("first_line_id"), F.max_by("line_id", F.when(solid, F.col("line_no"))).alias("last_line_id"),
-        F.max(F.when(solid, F.col("line_no"))).alias("last_no"), F.min("line_no").alias("first_no"),
-        F.max(F.when(F.col("head"), F.col("kind"))).alias("kind"), F.sort_array(F.collect_list(line)).alias("lines"))
+        F.max(F.when(solid, F.col("line_no"))).alias("last_no"), F.min("line_no").alias("first_no"), F.max(F.when(F.col("head"), F.col("kind"))).alias("kind"))
+    parts = ordered.groupBy("log_name", "entry", "blk").agg(F.sort_array(F.collect_list(F.struct("line_no", "raw_line"))).alias("lines"))
     text = F.transform(F.filter("lines", lambda x: x["line_no"] <= F.col("last_no")), lambda x: x["raw_line"])
-    flat = whole.select("log_name", "first_line_id", "last_line_id", (F.col("last_no") - F.col("first_no") + 1).alias("n_lines"), "kind",
-                        F.element_at(text, 1).alias("head_line"), F.array_join(F.slice(text, 2, F.greatest(F.size(text) - 1, F.lit(0))), "\n").alias("more"))
+    flat = (parts.join(bounds, ["log_name", "entry"]).withColumns({"text": text, "part_no": (F.col("blk") - F.floor(F.col("first_no") / BLOCK_LINES)).cast("int")}).filter(F.size("text") > 0)
+            .select("log_name", "first_line_id", "last_line_id", (F.col("last_no") - F.col("first_no") + 1).alias("n_lines"), "part_no", "kind",
+                    F.when(F.col("part_no") == 0, F.element_at("text", 1)).alias("head_line"),
+                    F.when(F.col("part_no") == 0, F.array_join(F.slice("text", 2, F.greatest(F.size("text") - 1, F.lit(0))), "\n")).otherwise(F.array_join("text", "\n")).alias("more")))
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            got = [fields(x) for x in pdf["head_line"]]
+            got = [(None, None, None, None) if x is None else fields(x) for x in pdf["head_line"]]
             yield pdf.assign(time=[g[0] for g in got], level=[g[1] for g in got], component=[g[2] for g in got],
-                             message=[g[3] + ("\n" + m if m else "") for g, m in zip(got, pdf["more"], strict=True)]).drop(columns=["head_line", "more"])
+                             message=[m if g[3] is None else g[3] + ("\n" + m if m else "") for g, m in zip(got, pdf["more"], strict=True)]).drop(columns=["head_line", "more"])
 
-    return flat.mapInPandas(parse, "log_name string, first_line_id bigint, last_line_id bigint, n_lines bigint, kind string, time string, level string, component string, message string")
+    return flat.mapInPandas(parse, "log_name string, first_line_id bigint, last_line_id bigint, n_lines bigint, part_no int, kind string, time string, level string, component string, message string")
