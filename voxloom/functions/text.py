@@ -54,17 +54,17 @@ def set_f1(a: Column, b: Column) -> Column:
 def word_errors(ref: Column, hyp: Column) -> Column:
     """Least number of word substitutions, insertions and deletions from ``ref`` to ``hyp`` (token arrays).
 
-    The words of both are coded as characters of the private planes (one code a distinct word), so that the JVM's character
-    edit distance counts words: linear memory, no Python. Pairs with more than 60,000 distinct words give null.
+    The words of both are coded as characters beyond the first plane (one code a distinct word), so that the JVM's character
+    edit distance counts words: linear memory, no Python. There are codes for a million distinct words a pair.
     """
     vocab = F.array_distinct(F.concat(ref, hyp))
-    code = lambda w: F.decode(F.unhex(F.lpad(F.hex(_private(F.array_position(vocab, w).cast("int") - 1)), 8, "0")), "UTF-32")
+    code = lambda w: F.decode(F.unhex(F.lpad(F.hex(_code_point(F.array_position(vocab, w).cast("int") - 1)), 8, "0")), "UTF-32")
     coded = lambda ws: F.array_join(F.transform(ws, code), "")
-    return F.when(F.size(vocab) <= 60_000, F.levenshtein(coded(ref), coded(hyp)))
+    return F.when(F.size(vocab) <= 0x100000, F.levenshtein(coded(ref), coded(hyp)))
 
 
-def _private(i: Column) -> Column:
-    return F.lit(0xF0000) + i
+def _code_point(i: Column) -> Column:
+    return F.lit(0x10000) + i
 
 
 def wer(ref: Column, hyp: Column) -> Column:
