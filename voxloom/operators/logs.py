@@ -333,7 +333,7 @@ def _assigned(lines: DataFrame) -> DataFrame:
             yield pdf.assign(head_key=[shapes.of(x) for x in pdf["raw_line"]], solid=[bool(x.strip()) for x in pdf["raw_line"]])
 
     marked = (checkpointed(clean.mapInPandas(keyed, "line_id bigint, log_name string, line_no bigint, raw_line string, head_key string, solid boolean"))
-              .join(layouts(templates(clean)), "head_key", "left")
+              .join(checkpointed(layouts(templates(clean))), "head_key", "left")
               .withColumns({"head": F.coalesce("head", F.lit(False)), "blk": F.floor(F.col("line_no") / BLOCK_LINES)}))
     return block_scan(marked, ["log_name"], "blk", [F.col("line_no")], sums={"entry": F.col("head").cast("bigint")}).filter("entry > 0")
 
