@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tests.helpers import rows
 from voxloom.operators import align, chunk, cluster, incremental, intervals, items, match, models, relational, search, windows
+from voxloom.plans import pipeline
 
 IV = "lecture_id string, id long, s long, e long"
 
@@ -154,6 +155,23 @@ def test_alignment_equals_scored_alignment(cells):
         assert align.lcs_pairs(a, b, cells) == nw(a, b)
 
 
+def test_long_recordings_are_aligned_as_a_whole(spark):
+    rng, hour = random.Random(5), 3_600_000
+    said = [[f"w{rng.randint(0, 40)}" for _ in range(12)] for _ in range(40)]
+    # Segments of 15 minutes over ten hours; each group starts a minute before its segment, so some in the hour before.
+    w = spark.createDataFrame([("a", i, i * hour // 4, (i + 1) * hour // 4 - 1, " ".join(x)) for i, x in enumerate(said)], "lecture_id string, id long, s long, e long, text string")
+    g = spark.createDataFrame([("a", i, max(0, i * hour // 4 - 60_000), (i + 1) * hour // 4 - 1, " ".join(t for t in x if rng.random() < 0.9), "S") for i, x in enumerate(said)],
+                              "lecture_id string, id long, s long, e long, text string, speaker string")
+    merged = items.merge_items(w, g)
+    flat = {k: [(r.id, t) for r in sorted(merged.filter(F.col("type") == k).collect(), key=lambda r: r.pos) for t in (r.whisper_transcript or r.gemini_transcript).split()] for k in (items.SEGMENT, items.GROUP)}
+    first, second = flat[items.SEGMENT], flat[items.GROUP]
+    want = {}
+    for i, j in nw([t for _, t in first], [t for _, t in second]):
+        want.setdefault(first[i][0], []).append(second[j][1])
+    got = {r.id: r.gemini_transcript for r in pipeline.aligned_items(merged).collect()}
+    assert len(got) == 40 and {k: v for k, v in got.items() if v} == {k: " ".join(v) for k, v in want.items()}
+
+
 def test_aligned_text_and_score(spark):
     s = "lecture_id string, id long, pos long, text string"
     w = spark.createDataFrame([("a", 1, 1, "the cat sat"), ("a", 2, 2, "on mats"), ("a", 3, 3, "..."), ("b", 4, 1, "alone")], s)

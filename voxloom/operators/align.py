@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from functools import lru_cache
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -13,46 +16,90 @@ from voxloom.functions.text import align_token, align_tokens, words
 def lcs_pairs(a: list, b: list, cells: int = 40_000_000) -> list[tuple[int, int]]:
     """Index pairs of the alignment that scores +10 a match, -5 a mismatch and -1 a gap, traced match, up, left.
 
-    A mismatch never beats two gaps, so the pairs are those of a longest common subsequence. Rows of the score table are
-    computed by numpy (a running maximum along the row), and kept whole while they take at most ``cells`` cells; beyond
-    that, the table is cut in half by rows again and again (linear memory) at columns the same trace passes.
+    A mismatch never beats two gaps, so the pairs are those of a longest common subsequence. A row of the score table is kept
+    as one integer of bits, 0 where the score rises along the row, and made from the row above by one addition; its carries are
+    1 where the score rises down the column, which is all the trace asks. Bands of rows whose carries take four bytes for each
+    of ``cells`` are held at once: the first row of each band is kept, and a band is made again when the trace comes to it.
+
+    With a score of at least k, no best path leaves the diagonals that n - k steps down and m - k steps right can reach, so
+    cells beyond them are left out: exact once the table so cut scores k. k is guessed first; a cut table's own score, which
+    some path has, is a k that holds.
     """
-    ids: dict = {}
-    x = np.array([ids.setdefault(t, len(ids)) for t in a], dtype=np.int64)
-    y = np.array([ids.setdefault(t, len(ids)) for t in b], dtype=np.int64)
     out: list[tuple[int, int]] = []
     # An equal tail is matched by the trace first, whatever precedes it.
-    n, m = len(x), len(y)
-    while n and m and x[n - 1] == y[m - 1]:
+    n, m = len(a), len(b)
+    while n and m and a[n - 1] == b[m - 1]:
         n, m = n - 1, m - 1
         out.append((n, m))
-    step = max(1, cells // max(m + 1, 1))
-
-    def rows(first: np.ndarray, lo: int, hi: int) -> np.ndarray:
-        table = np.empty((hi - lo + 1, m + 1), dtype=np.int32)
-        table[0] = first
+    places: dict = {}
+    for j in range(m):
+        places.setdefault(b[j], []).append(j)
+
+    def masks(left: int, right: int):
+        """Bits of the columns from ``left`` to ``right`` that hold a token."""
+        size = (right - left) // 8 + 1
+
+        @lru_cache(maxsize=max(1, 4 * cells // size))
+        def mask(token) -> int:
+            at = places[token]
+            at = at[bisect_left(at, left):bisect_left(at, right)]
+            if len(at) * 64 > right - left:
+                flags = np.zeros(right - left, dtype=bool)
+                flags[np.array(at) - left] = True
+                return int.from_bytes(np.packbits(flags, bitorder="little").tobytes(), "little")
+            bits = bytearray(size)
+            for j in at:
+                bits[(j - left) >> 3] |= 1 << ((j - left) & 7)
+            return int.from_bytes(bits, "little")
+
+        return mask
+
+    def rows(above: int, lo: int, hi: int, left: int, right: int, carries: list | None = None) -> int:
+        mask, full, size = masks(left, right), (1 << (right - left)) - 1, (right - left) // 8 + 1
         for i in range(lo, hi):
-            up = table[i - lo]
-            row = up.copy()
-            np.maximum(row[1:], np.where(y[:m] == x[i], up[:-1] + 1, 0), out=row[1:])
-            table[i - lo + 1] = np.maximum.accumulate(row)
-        return table
-
-    # Bands of rows: their first rows are kept, each band is computed again when the trace comes to it.
-    starts, first = [], np.zeros(m + 1, dtype=np.int32)
-    for lo in range(0, n, step):
-        starts.append((lo, first))
-        if lo + step < n:
-            first = rows(first, lo, min(n, lo + step))[-1].copy()
+            if a[i] not in places:
+                if carries is not None:
+                    carries.append(None)
+                continue
+            both = above & mask(a[i])
+            total = above + both
+            if carries is not None:
+                carries.append((total ^ above ^ both).to_bytes(size + 1, "little"))
+            above = (total | (above ^ both)) & full
+        return above
+
+    def bands(k: int) -> tuple[int, list[tuple[int, int, int, int, int]]]:
+        """The score of the table cut for ``k``, and its bands: rows from, to, columns from, to, first row."""
+        step, kept, score = max(1, min(4_096, 32 * cells // (n + m - 2 * k + 4_096))), [], 0
+        above, left, right = 0, 0, 0
+        for lo in range(0, n, step):
+            hi = min(n, lo + step)
+            # Columns that leave on the left take their part of the score along; those that come in on the right add none.
+            new_left, new_right = max(0, lo - (n - k)), min(m, hi + (m - k))
+            gone = new_left - left
+            score += gone - (above & ((1 << gone) - 1)).bit_count()
+            above = (above >> gone) | (((1 << (new_right - right)) - 1) << (right - new_left))
+            left, right = new_left, new_right
+            kept.append((lo, hi, left, right, above))
+            above = rows(above, lo, hi, left, right)
+        return score + (right - left) - above.bit_count(), kept
+
+    k = min(n, m) * 19 // 20
+    score, kept = bands(k)
+    if score < k:
+        _, kept = bands(score)
     j = m
-    for lo, first in reversed(starts):
-        hi = min(n, lo + step)
-        table, i = rows(first, lo, hi), hi
+    for lo, i, left, right, first in reversed(kept):
+        carries: list = []
+        rows(first, lo, i, left, right, carries)
         while i > lo and j > 0:
-            if x[i - 1] == y[j - 1]:
+            up = carries[i - lo - 1]
+            if up is None:
+                i -= 1
+            elif a[i - 1] == b[j - 1]:
                 i, j = i - 1, j - 1
                 out.append((i, j))
-            elif table[i - lo, j] == table[i - lo - 1, j]:
+            elif not up[(j - left) >> 3] >> ((j - left) & 7) & 1:
                 i -= 1
             else:
                 j -= 1
@@ -65,22 +112,30 @@ def token_pairs(first: DataFrame, second: DataFrame, key: str, order: str) -> Da
     """``key, a_id, a_pos, b_id, b_pos, raw``: aligned tokens of two texts' rows (key, id, order, text), row by row in order.
 
     Each side's tokens of a key are one stream. A key (one recording, one document) is one task: alignment is a whole-stream
-    problem. Its table is banded, so memory stays near 40 million cells whatever the streams' lengths.
+    problem. Its table is banded, so memory grows with the streams' lengths only, not with their product.
     """
     def stream(df: DataFrame, raw: bool) -> DataFrame:
-        # Fresh names on either side, as both may come from one table.
-        toks = df.select(F.col(key).alias(key), F.col("id").alias("id"), F.col(order).alias("ord"), F.posexplode(words(F.col("text"))).alias("pos", "raw")).withColumn("tok", align_token(F.col("raw"))).filter("tok <> ''")
+        # Fresh names on either side, as both may come from one table. A text's tokens move as one row.
+        toks = (df.select(F.col(key).alias(key), F.col("id").alias("id"), F.col(order).alias("ord"), words(F.col("text")).alias("raw"))
+                .withColumn("tok", F.transform("raw", align_token)).filter(F.exists("tok", lambda t: t != "")))
         return toks if raw else toks.drop("raw")
 
+    def flat(pdf: pd.DataFrame) -> tuple[list, np.ndarray, np.ndarray]:
+        """Tokens that aren't empty, with the row and the place in its text of each."""
+        pdf = pdf.sort_values(["ord", "id"])
+        at = [(i, p) for i, toks in enumerate(pdf["tok"]) for p, t in enumerate(toks) if t]
+        row, pos = np.array(at, dtype=np.int64).reshape(-1, 2).T
+        return [t for toks in pdf["tok"] for t in toks if t], pdf.index.to_numpy()[row], pos
+
     def align(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if a.empty or b.empty:  # an empty side comes without columns
             return pd.DataFrame(columns=[key, "a_id", "a_pos", "b_id", "b_pos", "raw", "at"])
-        a, b = a.sort_values(["ord", "id", "pos"]), b.sort_values(["ord", "id", "pos"])
-        pairs = lcs_pairs(list(a["tok"]), list(b["tok"]))
-        i, j = [p[0] for p in pairs], [p[1] for p in pairs]
-        x, y = a.iloc[i], b.iloc[j]
-        return pd.DataFrame({key: x[key].to_numpy(), "a_id": x["id"].to_numpy(), "a_pos": x["pos"].to_numpy(), "b_id": y["id"].to_numpy(), "b_pos": y["pos"].to_numpy(),
-                             "raw": y["raw"].to_numpy(), "at": np.arange(len(pairs))})
+        a, b = a.reset_index(drop=True), b.reset_index(drop=True)
+        (x, a_row, a_pos), (y, b_row, b_pos) = flat(a), flat(b)
+        i, j = np.array(lcs_pairs(x, y), dtype=np.int64).reshape(-1, 2).T
+        said = b["raw"].to_numpy()
+        return pd.DataFrame({key: a[key].to_numpy()[a_row[i]], "a_id": a["id"].to_numpy()[a_row[i]], "a_pos": a_pos[i], "b_id": b["id"].to_numpy()[b_row[j]], "b_pos": b_pos[j],
+                             "raw": [said[r][p] for r, p in zip(b_row[j], b_pos[j], strict=True)], "at": np.arange(len(i))})
 
     kind = dict(first.dtypes)[key]
     return (stream(first, False).groupBy(key).cogroup(stream(second, True).groupBy(key))

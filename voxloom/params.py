@@ -26,7 +26,7 @@ class Params:
     zcr_high: float = 0.1
     word_ms: int = 300
     perfect_score: float = 9.99
-    align_block_ms: int = 3_600_000
+    align_block_ms: int = 3_600_000  # not read any more: recordings are aligned as a whole
     local_distance: float = 0.3
     global_distance: float = 0.35
     match_f1: float = 0.6

@@ -41,16 +41,14 @@ def transcript(segments: DataFrame, turns: DataFrame, mapping: DataFrame, p: Par
     return blocks(speaker_runs(labelled_segments(segments, turns, mapping, p)), p)
 
 
-def aligned_items(merged: DataFrame, p: Params = Params()) -> DataFrame:
+def aligned_items(merged: DataFrame) -> DataFrame:
     """Segments of a merged list with the group text that aligns to them and its score.
 
-    Streams are aligned hour by hour (``align_block_ms``), as the cost is their product: recordings up to that length are
-    aligned as a whole, longer ones may miss pairs across a border.
+    The streams of a recording are aligned as a whole, whatever its length.
     """
-    part = merged.withColumn("part", F.concat_ws("@", "lecture_id", F.floor(F.col("s") / p.align_block_ms)))
-    first = part.filter(F.col("type") == items.SEGMENT).select("lecture_id", "part", "id", "pos", F.col("whisper_transcript").alias("text"))
-    second = part.filter(F.col("type") == items.GROUP).select("part", "id", "pos", F.col("gemini_transcript").alias("text"))
-    return align.aligned_text(first, align.token_pairs(first, second, "part", "pos"))
+    first = merged.filter(F.col("type") == items.SEGMENT).select("lecture_id", "id", "pos", F.col("whisper_transcript").alias("text"))
+    second = merged.filter(F.col("type") == items.GROUP).select("lecture_id", "id", "pos", F.col("gemini_transcript").alias("text"))
+    return align.aligned_text(first, align.token_pairs(first, second, "lecture_id", "pos"))
 
 
 def fused_segments(whisper: DataFrame, gemini: DataFrame, p: Params = Params()) -> DataFrame:
@@ -60,7 +58,7 @@ def fused_segments(whisper: DataFrame, gemini: DataFrame, p: Params = Params())
     into imperfect neighbours; what is left is projected to plain segments in order.
     """
     merged = checkpointed(items.merge_items(whisper, gemini))
-    aligned = aligned_items(merged, p).select("id", F.col("gemini_transcript").alias("_g"), "alignment_score")
+    aligned = aligned_items(merged).select("id", F.col("gemini_transcript").alias("_g"), "alignment_score")
     # Ids of the two sides may clash; only segments take aligned text.
     full = merged.join(aligned.withColumn("type", F.lit(items.SEGMENT)), ["id", "type"], "left").withColumn("gemini_transcript", F.coalesce("_g", "gemini_transcript")).drop("_g")
     pushed = items.push_bridges(checkpointed(items.interpolate_bridges(checkpointed(full), word_ms=p.word_ms)), perfect=p.perfect_score)

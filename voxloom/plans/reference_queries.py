@@ -177,7 +177,7 @@ def greedy_push(spark, sf):
 
 @query()
 def alignment_score(spark, sf):
-    return pipeline.aligned_items(checkpointed(merged(spark, sf)), P).select("id", "gemini_transcript", "alignment_score")
+    return pipeline.aligned_items(checkpointed(merged(spark, sf))).select("id", "gemini_transcript", "alignment_score")
 
 
 @query()
