@@ -213,6 +213,18 @@ def test_average_linkage_brute_force():
     assert list(cluster.average_linkage(np.ones((4, 2)), 0.3)) == [0, 0, 0, 0] and list(cluster.average_linkage(np.ones((1, 2)), 0.3)) == [0]
 
 
+def test_clusters_are_exact_above_the_held_distances(spark):
+    x = np.random.default_rng(6).normal(size=(60, 4))
+    for t in (0.2, 0.5, 0.9):
+        want = plain_linkage(x, t)
+        for held in (1, 7, 30):
+            assert (cluster.average_linkage(x, t, held) == want).all()
+    df = spark.createDataFrame([("a", i, [float(v) for v in e]) for i, e in enumerate(x)], "lecture_id string, seg_id long, emb array<double>")
+    assert [r.cluster for r in sorted(cluster.local_clusters(df, 0.5, most=7).collect(), key=lambda r: r.seg_id)] == list(plain_linkage(x, 0.5))
+    centres = df.select("lecture_id", F.col("seg_id").alias("cluster"), F.lit(1).cast("long").alias("size"), F.col("emb").alias("centroid"))
+    assert [r["global"] for r in sorted(cluster.global_clusters(centres, 0.5, most=7).collect(), key=lambda r: r.cluster)] == list(plain_linkage(x, 0.5))
+
+
 def test_clusters_and_names(spark):
     rng = np.random.default_rng(1)
     base = {"p": np.array([1.0, 0, 0]), "q": np.array([0, 1.0, 0]), "r": np.array([0, 0, 1.0])}

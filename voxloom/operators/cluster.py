@@ -10,11 +10,46 @@ from pyspark.sql import functions as F
 from voxloom.functions.vectors import is_valid
 
 
-def average_linkage(vectors: np.ndarray, distance: float) -> np.ndarray:
+def _merged_by_sums(x: np.ndarray, distance: float, held: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int]]]:
+    """Merges of unit vectors nearer than ``distance`` until ``held`` clusters are left to merge, without their distances.
+
+    The mean distance of two clusters is 1 - (sum . sum) / (size * size) over their unit vectors, so one row of distances is
+    made when it is needed: the memory of the vectors is enough. A cluster with nothing nearer than ``distance`` is done, as
+    a merge is never nearer to it than the nearer of the merged. Returns ids, means and sizes of the rest, and the merges.
+    """
+    ids, sums, size, alive = np.arange(len(x)), x.copy(), np.ones(len(x)), np.ones(len(x), dtype=bool)
+    left, chain, merges = len(x), [], []
+    while left > held:
+        if left < 0.8 * len(ids):
+            ids, sums, size, alive, chain = ids[alive], sums[alive], size[alive], np.ones(left, dtype=bool), []
+        if not chain:
+            chain = [int(np.argmax(alive))]
+        a = chain[-1]
+        row = np.where(alive, 1.0 - sums @ sums[a] / (size * size[a]), np.inf)
+        row[a] = np.inf
+        b = int(np.argmin(row))
+        if len(chain) > 1 and row[chain[-2]] <= row[b] + 1e-12:  # rows made twice differ in the last digits
+            b = chain[-2]
+        if row[b] >= distance:
+            alive[a], left = False, left - 1
+            chain.pop()
+        elif len(chain) > 1 and b == chain[-2]:
+            chain = chain[:-2]
+            merges.append((int(ids[a]), int(ids[b])))
+            sums[b] += sums[a]
+            size[b] += size[a]
+            alive[a], left = False, left - 1
+        else:
+            chain.append(b)
+    return ids[alive], sums[alive] / size[alive, None], size[alive], merges
+
+
+def average_linkage(vectors: np.ndarray, distance: float, held: int = 4_000) -> np.ndarray:
     """Labels of agglomerative clustering: cosine distance, average linkage, merged while nearer than ``distance``.
 
     Nearest-neighbour chains find the merges in O(n^2) time; merges at or above the threshold are not applied. Labels are
-    numbered by each cluster's first member. A zero vector is at distance 1 from all.
+    numbered by each cluster's first member. A zero vector is at distance 1 from all. The table of distances is made once at
+    most ``held`` clusters are left; above that, rows of it are made as they are needed, with the same result.
     """
     n = len(vectors)
     if n < 2:
@@ -22,10 +57,11 @@ def average_linkage(vectors: np.ndarray, distance: float) -> np.ndarray:
     x = vectors.astype(np.float64)
     norms = np.linalg.norm(x, axis=1, keepdims=True)
     x = np.divide(x, norms, out=np.zeros_like(x), where=norms > 0)
-    d = 1.0 - x @ x.T
-    np.fill_diagonal(d, np.inf)
-    size, alive = np.ones(n), np.ones(n, dtype=bool)
     up = np.arange(n)
+    ids, means, size, early = _merged_by_sums(x, distance, held)
+    d = 1.0 - means @ means.T
+    np.fill_diagonal(d, np.inf)
+    alive = np.ones(len(ids), dtype=bool)
 
     def find(i: int) -> int:
         while up[i] != i:
@@ -35,7 +71,7 @@ def average_linkage(vectors: np.ndarray, distance: float) -> np.ndarray:
 
     chain: list[int] = []
     merges: list[tuple[float, int, int]] = []
-    for _ in range(n - 1):
+    for _ in range(len(ids) - 1):
         if not chain:
             chain = [int(np.flatnonzero(alive)[0])]
         while True:
@@ -56,9 +92,8 @@ def average_linkage(vectors: np.ndarray, distance: float) -> np.ndarray:
         d[b], d[:, b] = both, both
         d[b, b] = np.inf
     # Average linkage never merges lower than the merges it is made of, so those under the threshold are the clusters.
-    for height, a, b in merges:
-        if height < distance:
-            up[find(a)] = find(b)
+    for a, b in [*early, *((ids[a], ids[b]) for height, a, b in merges if height < distance)]:
+        up[find(a)] = find(b)
     first: dict[int, int] = {}
     return np.array([first.setdefault(find(i), len(first)) for i in range(n)], dtype=np.int64)
 
@@ -66,30 +101,17 @@ def average_linkage(vectors: np.ndarray, distance: float) -> np.ndarray:
 def local_clusters(vectors: DataFrame, distance: float, key: str = "lecture_id", ident: str = "seg_id", emb: str = "emb", most: int = 4_000) -> DataFrame:
     """``key, ident, cluster``: clusters of each key's valid vectors, numbered by least ident.
 
-    A key with more than ``most`` vectors is clustered in hash parts of about that size, whose clusters are then joined by
-    their centroids in the same way: quadratic work stays bounded by the part, whatever the key holds.
+    A key is one task, as average linkage is a problem of the whole key: quadratic in time, but beyond ``most`` vectors only the
+    vectors themselves are held, not their distances.
     """
     good = vectors.filter(is_valid(F.col(emb)) & F.col(key).isNotNull() & F.col(ident).isNotNull()).select(key, ident, emb)
-    sizes = good.groupBy(key).agg(F.ceil(F.count("*") / most).cast("int").alias("_parts"))
-    cut = good.join(sizes, key).withColumn("_part", F.pmod(F.xxhash64(ident), F.col("_parts")).cast("int"))
     kinds = dict(vectors.dtypes)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(ident)
-        return pd.DataFrame({key: pdf[key], ident: pdf[ident], "_part": pdf["_part"], "_parts": pdf["_parts"], "cluster": average_linkage(np.stack(pdf[emb].to_numpy()), distance)})
-
-    first = cut.groupBy(key, "_part").applyInPandas(run, f"{key} {kinds[key]}, {ident} {kinds[ident]}, _part int, _parts int, cluster bigint")
-    whole = first.filter("_parts = 1").select(key, ident, "cluster")
-    parts = first.filter("_parts > 1").join(good, [key, ident])
-    centre = centroids(parts.withColumn("_c", F.struct("_part", "cluster")), [key, "_c"], emb)
+        return pd.DataFrame({key: pdf[key], ident: pdf[ident], "cluster": average_linkage(np.stack(pdf[emb].to_numpy()), distance, most)})
 
-    def again(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.assign(_p=[c["_part"] for c in pdf["_c"]], _l=[c["cluster"] for c in pdf["_c"]]).sort_values(["_p", "_l"])
-        return pd.DataFrame({key: pdf[key], "_part": pdf["_p"], "cluster": pdf["_l"], "_joined": average_linkage(np.stack(pdf["centroid"].to_numpy()), distance)})
-
-    joined = centre.groupBy(key).applyInPandas(again, f"{key} {kinds[key]}, _part int, cluster bigint, _joined bigint")
-    large = first.filter("_parts > 1").join(joined, [key, "_part", "cluster"]).select(key, ident, F.col("_joined").alias("cluster"))
-    return whole.unionByName(large)
+    return good.groupBy(key).applyInPandas(run, f"{key} {kinds[key]}, {ident} {kinds[ident]}, cluster bigint")
 
 
 def centroids(vectors: DataFrame, keys: list[str], emb: str = "emb") -> DataFrame:
@@ -102,26 +124,16 @@ def centroids(vectors: DataFrame, keys: list[str], emb: str = "emb") -> DataFram
 def global_clusters(centres: DataFrame, distance: float, key: str = "lecture_id", cluster: str = "cluster", most: int = 8_000) -> DataFrame:
     """``key, cluster, size, global``: clusters of all centroids, ordered by (key, cluster); one centroid is cluster 0.
 
-    Up to ``most`` centroids are clustered at once. Beyond it they are clustered in hash parts first and the parts' centroids
-    again, so the quadratic step never sees more than ``most`` at a time.
+    All are clustered in one task, as average linkage is a problem of the whole; beyond ``most`` centroids only the centroids
+    themselves are held, not their distances.
     """
     kind = dict(centres.dtypes)[key]
-    n = centres.count()
-    parts = -(-n // most)
-    tagged = centres.withColumn("_part", F.pmod(F.xxhash64(key, cluster), F.lit(max(parts, 1))).cast("int"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values([key, cluster])
-        return pd.DataFrame({key: pdf[key], cluster: pdf[cluster], "size": pdf["size"], "_part": pdf["_part"], "_l": average_linkage(np.stack(pdf["centroid"].to_numpy()), distance)})
-
-    first = tagged.groupBy("_part").applyInPandas(run, f"{key} {kind}, {cluster} bigint, size bigint, _part int, _l bigint")
-    if parts <= 1:
-        return first.select(key, cluster, "size", F.col("_l").alias("global"))
-    linked = first.join(centres.select(key, cluster, "centroid"), [key, cluster])
-    middle = centroids(linked.select(F.col("_part").cast("string").alias("part"), F.col("_l").alias("in_part"), F.col("centroid").alias("emb")), ["part", "in_part"])
-    upper = global_clusters(middle, distance, "part", "in_part", most)
-    back = upper.select(F.col("part").cast("int").alias("_part"), F.col("in_part").alias("_l"), "global")
-    return first.join(back, ["_part", "_l"]).select(key, cluster, "size", "global")
+        return pd.DataFrame({key: pdf[key], cluster: pdf[cluster], "size": pdf["size"], "global": average_linkage(np.stack(pdf["centroid"].to_numpy()), distance, most)})
+
+    return centres.select(key, cluster, "size", "centroid").groupBy().applyInPandas(run, f"{key} {kind}, {cluster} bigint, size bigint, global bigint")
 
 
 def speaker_names(clustered: DataFrame, main: str, key: str = "lecture_id", cluster: str = "cluster") -> DataFrame:
