@@ -1,10 +1,10 @@
 """Problem 6: raw log lines into entries with time, level, component and message.
 
-Layouts are mined, not listed. Lines are cut into typed tokens (times, levels, components, numbers, paths, words, marks);
-each partition clusters the distinct token sequences it sees by their longest common subsequence into templates of
-constant and variable slots; partition templates are counted and merged by the same rule over the whole table; the slots
-of a merged template are typed, and the types say whether a line of that template opens an entry and where its time,
-level, component and message stand. Token shapes (how a time or a level is written) are the only fixed knowledge.
+Templates are mined: lines are cut into typed tokens (times, levels, components, numbers, paths, words, marks); each
+partition clusters the distinct token sequences it sees by their longest common subsequence into templates of constant and
+variable slots; partition templates are counted and merged by the same rule over the table. Whether a line opens an entry, and
+where its time, level, component and message stand, is not read from the templates but decided by fixed rules on the types of
+the line's own first tokens and on listed marks; of the templates only an example line of each head key is used.
 """
 
 from __future__ import annotations
