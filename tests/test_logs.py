@@ -10,10 +10,17 @@ LINES = [
     "[2028-11-30T02:18:37.889Z] [INFO] [gemini.client] weights of 19", "half-speed mode chosen", "", "undo it", None, "   ",
 ]
 
+# A second message of every layout: a layout is known by what differs behind it.
+MORE = [
+    "2027-05-25 09:12:20 - merge.items - INFO - batch of 5 cells flushed", "W0525 09:02:28.506992  1185 merge_items.cc:7] no gap for segment 45", "2029/07/31 13:14:17,529 DEBUG   (vad.energy) chunk 33 lost",
+    "Jul 31 13:13:44 box3 asrd[180]: <error> read 43 segments", 'time=2029-08-07T16:12:17Z level=info comp=asr.load msg="stopped after 3s"', "WARNING:dia.worker:weights refused",
+    '{"ts": "2028-01-07T12:34:26Z", "lvl": "info", "logger": "asr.loader", "msg": "lost a time: 00:10:11"}', "1891778213945 | W | fuzz.tokens | body repaired", "[2028-11-30T02:18:37.890Z] [WARNING] [gemini.client] biases of 19",
+]
+
 
 def frame(spark, names=("a.txt",)):
     data = [(100 * k + i, n, i, t) for k, n in enumerate(names) for i, t in enumerate(LINES, 1)]
-    return spark.createDataFrame(data + data[:9], "line_id long, log_name string, line_no int, raw_line string")
+    return spark.createDataFrame(data + data[:9] + [(900 + i, "z.txt", i, t) for i, t in enumerate(MORE)], "line_id long, log_name string, line_no int, raw_line string")
 
 
 def bounds():
@@ -26,7 +33,39 @@ def bounds():
 
 def test_bounds(spark):
     got = rows(logs.entry_bounds(clashing(frame(spark, ("a.txt", "b.txt")))), "first_line_id", "last_line_id")
-    assert got == sorted([p for p in bounds()] + [(a + 100, b + 100) for a, b in bounds()], key=repr)
+    assert got == sorted([p for p in bounds()] + [(a + 100, b + 100) for a, b in bounds()] + [(900 + i, 900 + i) for i in range(len(MORE))], key=repr)
+
+
+def test_joining_decides(spark):
+    """Without joined templates there are no layouts: only marks and warnings open entries."""
+    from voxloom.operators.logs import mark_kind, masked
+
+    heads = rows(logs.entry_bounds(frame(spark)), "first_line_id")
+    alone = rows(logs.entry_bounds(frame(spark), similar=1.01), "first_line_id")
+    assert len(alone) < len(heads) and [x[0] for x in alone] == sorted((i for i, t in enumerate(LINES, 1) if t and mark_kind(masked(t))), key=lambda i: repr((i,)))
+
+
+def test_order_and_partitions_do_not_matter(spark):
+    base = frame(spark)
+    one, many = (rows(logs.templates(base.repartition(n))) for n in (1, 7))
+    assert one == many
+    small = logs.mined(logs.tokenised(base).repartition(3))
+    assert {r.mask for r in small.collect()} == {logs.SEP.join(logs.masked(t)) for t in [*LINES, *MORE] if t and t.strip()}
+
+
+def test_parts_are_merged_again(spark, monkeypatch):
+    monkeypatch.setattr(logs, "PART_SEQUENCES", 3)
+    lines = [(i, "a", i, f"2027-05-25 09:02:{i % 60:02d} - c.d - INFO - worker {w} sent {i} rows") for i, w in enumerate(["alpha", "beta", "gamma", "delta", "eta", "zeta", "iota", "kappa", "mu", "nu", "xi", "pi"])]
+    got = logs.templates(spark.createDataFrame(lines, "line_id long, log_name string, line_no int, raw_line string")).filter("n_sequences > 1").collect()
+    assert len(got) == 1 and got[0].template == "<T> - <C> - <L> - worker <*> sent <N> rows" and got[0].kind == "record" and got[0].head == "<T> - <C> - <L>"
+
+
+def test_kinds_of_templates():
+    kind = lambda t: logs.mark_kind(logs.masked(t))
+    assert [kind(t) for t in ("=== STEP 1: List ===", "[SKIP] a1", "[1/7] Write", ">>> [51/94] x", "==> 3 of 9", "/a/b.py:3: UserWarning: old", "[DEBUG] x", "[1, 2]", "{", "--- a", "KeyError: 'A'", "  [SKIP] a")] == [
+        "banner", "tag", "step", "progress", "progress", "warning", "tag", None, None, None, None, None]
+    zone = lambda t: logs.zone(logs.masked(t))
+    assert [zone(t) for t in ("2027-05-25 09:02:20 - m.i - INFO - x", "found 10:20 there", "  10:20 x", "ERROR:a.b:x", "error in it", "5 at 10:20", "at=10:20 x")] == [5, 0, 0, 3, 0, 0, 3]
 
 
 def test_fields(spark):

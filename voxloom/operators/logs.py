@@ -1,31 +1,37 @@
 """Problem 6: raw log lines into entries with time, level, component and message.
 
-Templates are mined: lines are cut into typed tokens (times, levels, components, numbers, paths, words, marks); each
-partition clusters the distinct token sequences it sees by their longest common subsequence into templates of constant and
-variable slots; partition templates are counted and merged by the same rule over the table. Whether a line opens an entry, and
-where its time, level, component and message stand, is not read from the templates but decided by fixed rules on the types of
-the line's own first tokens and on listed marks; of the templates only an example line of each head key is used.
+Lines are cut into typed tokens (times, levels, components, numbers, paths, words, marks). Distinct token sequences are clustered
+by their longest common subsequence into templates of constant and variable slots, in parts that are merged again. Slots are
+classified by type, and the templates decide: what joined templates have in front of their first free slot is a layout, each line
+is assigned its template, and a line whose template begins with a layout, or has the slots of a warning or job mark, opens an
+entry. Time, level and component are the values at the layout's typed slots.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.operators.scan import block_scan
+from voxloom.operators.align import lcs_pairs
+from voxloom.operators.scan import block_scan, salted_join
 from voxloom.session import checkpointed
 
 #: Lines of one log that a task scans at once.
 BLOCK_LINES = 20_000
 #: Two token sequences are one template if their common subsequence has this share of the longer one.
 SIMILAR = 0.7
-#: Templates that a task holds while it clusters; the least used leave it, counted, when there are more.
-OPEN_TEMPLATES = 2_000
+#: Distinct token sequences that a task clusters.
+PART_SEQUENCES = 20_000
+#: Parts the tokens of a sequence; no token has it.
+SEP = "\x1f"
+#: Slots that make a head.
+TYPED = ("<T>", "<L>", "<l>", "<G>", "<C>", "<P>")
 
 # Names of log levels and the letters that stand for them.
 LEVELS = {"TRACE": "TRACE", "DEBUG": "DEBUG", "INFO": "INFO", "NOTICE": "INFO", "WARN": "WARNING", "WARNING": "WARNING",
@@ -42,56 +48,39 @@ _TOKEN = re.compile(
     rf"|(?<![\w:.]){_CLOCK}(?![\w:])|(?<![\w.])\d{{10}}(?:\d{{3}}|\.\d+)?(?![\w.]))"
     rf"|(?P<L>(?<![\w.\-/])(?:(?i:{_NAMES}))(?![\w.\-/]))"
     r"|(?P<C>(?<![\w./])[A-Za-z_][\w\-]*(?:\.[A-Za-z_][\w\-]*)+(?::\d+)?(?![\w/])|[A-Za-z_][\w\-./]*\[\d+\])"
-    r"|(?P<P>(?:[A-Za-z]:)?[/\\][^\s:'\"]+(?:\:\d+)?|[\w.\-]+\.(?:py|cc|cpp|go|rs|java|js|c|h):\d+)"
+    r"|(?P<P>(?<![\w\])])(?:[A-Za-z]:)?[/\\][^\s:'\"]+(?:\:\d+)?|[\w.\-]+\.(?:py|cc|cpp|go|rs|java|js|c|h):\d+)"
     r"|(?P<N>[+-]?\d[\w.]*)|(?P<W>[^\W\d_][\w'\-]*)|(?P<M>\S)")
-_WARNING = re.compile(r"^\S[^\n]*?:\d+: \w*Warning\b")
-_MARK = re.compile(r"^(?:(?P<banner>([=#*\-~])\2{2,}.*\S.*\2{3,}\s*$)|(?P<tag>\[[A-Z][A-Z _\-]*\](?:\s|$))"
-                   r"|(?P<step>\[\d+\s*/\s*\d+\]\s)|(?P<progress>(?:>>+|==>|-->|::)\s*\[?\s*\d+\s*(?:/|of)\s*\d+))")
+#: Marks that may close a level that stands alone.
+_CLOSERS = (":", "]", "-", "|", ")", ">")
 
 
 def tokens(line: str) -> list[tuple[str, int, int]]:
-    """(type, start, end): T time, L level, G level letter, C component, P path, N number, W word, M mark."""
-    return [(m.lastgroup, m.start(), m.end()) for m in _TOKEN.finditer(line)]
-
-
-def masked(line: str) -> list[str]:
-    """The token sequence that templates are made of: words and marks as they are, other tokens as <type>.
-
-    A word with digits in it is a name of something (<I>), not a constant.
+    """(type, start, end): T time, L level in capitals, l other level, G level letter, C component, P path, N number, I name
+    with digits, K kind of warning, U status in brackets, W word, M mark; S in front of an indented line.
     """
-    return ["<I>" if k == "W" and any(c.isdigit() for c in line[a:b]) else line[a:b] if k in "WM" else f"<{k}>" for k, a, b in tokens(line)]
-
+    found = [(m.lastgroup, m.start(), m.end()) for m in _TOKEN.finditer(line)]
+    out = [("S", 0, 0)] if line[:1].isspace() else []
+    for i, (k, a, b) in enumerate(found):
+        if k == "W":
+            before = line[found[i - 1][1]] if i and found[i - 1][0] == "M" else ""
+            after = line[found[i + 1][1]] if i + 1 < len(found) else ""
+            if b - a == 1 and line[a] in LETTERS and before and before in "|[(<" and after and after in "|])>":
+                k = "G"
+            elif line.endswith("Warning", a, b):
+                k = "K"
+            elif not line[a:b].isalpha() and any(c.isdigit() for c in line[a:b]):
+                k = "I"
+            elif b - a > 1 and line[a:b].isupper() and (before == "[" or out and out[-1][0] == "U"):
+                k = "U"
+        elif k == "L" and not line[a:b].isupper():
+            k = "l"
+        out.append((k, a, b))
+    return out
 
-def head_key(line: str) -> str:
-    """What the first slots of a line look like: '' for blank lines, and up to the first free word for others.
 
-    Indented lines keep a space in front: what is quoted or listed below a head never has a head's key.
-    """
-    if not line.strip():
-        return ""
-    if line[0].isspace():
-        out = [" "]
-    elif m := _MARK.match(line):
-        out = [f"!{m.lastgroup or 'banner'}"]
-    elif _WARNING.match(line):
-        out = ["!warning"]
-    else:
-        out = []
-    found = tokens(line)
-    for i, (k, a, b) in enumerate(found):
-        named = k == "W" and b < len(line) and (line[b] == "=" or line[b:b + 2] == '":' or line[b:b + 1] == ":" and i == 0)
-        # A single letter between bars or brackets stands for a level.
-        single = k == "W" and b - a == 1 and line[a] in LETTERS and i and line[found[i - 1][1]] in "|[(<" and line[b:b + 2].strip()[:1] in ("|", "]", ")", ">")
-        if single:
-            out.append("<G>")
-        elif k == "W" and not named:
-            out.append("<W>")
-            break
-        else:
-            out.append(line[a:b] if k in "WM" else "<l>" if k == "L" and not line[a:b].isupper() else f"<{k}>")
-        if len(out) >= 24:
-            break
-    return " ".join(out)
+def masked(line: str) -> list[str]:
+    """The token sequence that templates are made of: words and marks as they are, other tokens as <type>."""
+    return [line[a:b] if k in "WM" else f"<{k}>" for k, a, b in tokens(line)]
 
 
 def lcs(a: list[str], b: list[str]) -> list[tuple[int, int]]:
@@ -103,6 +92,9 @@ def lcs(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     while tail < min(n, m) - start and a[n - 1 - tail] == b[m - 1 - tail]:
         tail += 1
     x, y = a[start:n - tail], b[start:m - tail]
+    if len(x) * len(y) > 10_000:
+        middle = [(start + i, start + j) for i, j in lcs_pairs(x, y)]
+        return [(k, k) for k in range(start)] + middle + [(n - tail + k, m - tail + k) for k in range(tail)]
     best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
     for i in range(len(x) - 1, -1, -1):
         row, below = best[i], best[i + 1]
@@ -163,98 +155,98 @@ class Shapes:
 
 
 class Clusters:
-    """Templates by head key and first token, joined as they come."""
-
-    def __init__(self, limit: int = OPEN_TEMPLATES):
-        self.of: dict[tuple[str, str], list[list]] = {}
-        self.size, self.limit = 0, limit
-
-    def add(self, key: str, seq: list[str], n: int, example: str) -> list[tuple[str, list[str], int, str]]:
-        """Count ``seq``; return the templates that had to leave."""
-        here, bag = self.of.setdefault((key, seq[0]), []), Counter(seq)
-        for t in here:
-            # Tokens in common bound the common subsequence, and are far cheaper to count.
-            if (t[3] & bag).total() >= SIMILAR * max(len(t[0]), len(seq)) and (both := join_templates(t[0], seq)) is not None:
-                if both != t[0]:
-                    t[0], t[3] = both, Counter(both)
-                t[1] += n
-                return []
-        here.append([seq, n, example, bag])
-        self.size += 1
-        return self.flush(self.limit // 2) if self.size > self.limit else []
-
-    def flush(self, keep: int = 0) -> list[tuple[str, list[str], int, str]]:
-        every = sorted(((k, t) for k, ts in self.of.items() for t in ts), key=lambda x: -x[1][1])
-        self.of, self.size = {}, 0
-        for k, t in every[:keep]:
-            self.of.setdefault(k, []).append(t)
-            self.size += 1
-        return [(k[0], *t[:3]) for k, t in every[keep:]]
-
-
-def slots(line: str) -> dict:
-    """Types of a layout's slots, read from one line of it: is it an entry's head, and of which kind."""
-    if not line or line[0].isspace():
-        return {"head": False, "kind": "more"}
-    if m := _MARK.match(line):
-        kind = m.lastgroup or "banner"
-        if not (kind == "tag" and re.match(r"\[(?:%s)\]" % _NAMES, line) and not re.match(r"\[(?:WARN|ERROR|INFO)\]\s", line)):
-            return {"head": True, "kind": kind}
-    if _WARNING.match(line):
-        return {"head": True, "kind": "warning"}
-    key = head_key(line).split(" ")
-    typed = [k for k in key if k in ("<T>", "<L>", "<l>", "<G>")]
-    if not typed:
-        return {"head": False, "kind": "more"}
-    first = next(i for i, k in enumerate(key) if k in ("<T>", "<L>", "<l>", "<G>"))
-    before = key[:first]
-    # In front of the first time or level stand marks and field names only, no number, path or component.
-    if any(k in ("<N>", "<P>", "<C>", "<W>") for k in before):
-        return {"head": False, "kind": "more"}
-    if typed[0] in ("<L>", "<l>") and "<T>" not in typed:
-        # A level alone is a head where a mark closes it: LEVEL:name:text, [LEVEL] text, LEVEL - text.
-        after = key[first + 1] if first + 1 < len(key) else ""
-        if after not in (":", "]", "-", "|", ")", ">", "<C>") or not (typed[0] == "<L>" or before):
-            return {"head": False, "kind": "more"}
-    return {"head": True, "kind": "record"}
-
-
-def fields(line: str) -> tuple[str | None, str | None, str | None, str]:
-    """Time, level, component and message of a head line, by the types of its slots."""
-    found, time, level, comp, end = tokens(line), None, None, None, 0
-    key = [k for k in head_key(line).split(" ") if k[:1] != "!"]
-    if _WARNING.match(line):
-        m = re.match(r"(.*?:\d+): (\w*Warning):?\s*(.*)$", line, re.S)
-        return None, "WARNING", m[1], m[3] or m[2]
-    mark = _MARK.match(line)
-    for i, k in enumerate(key[:len(found)]):
-        _, a, b = found[i]
-        if k == "<T>" and time is None:
-            time, end = line[a:b], b
-        elif k in ("<L>", "<l>") and level is None:
-            level, end = LEVELS[line[a:b].upper()], b
-        elif k == "<G>" and level is None:
-            level, end = LETTERS[line[a:b]], b
-        elif k in ("<C>", "<P>") and comp is None and (time or level):
-            comp, end = line[a:b], b
-        elif k in ("<L>", "<l>"):
+    """Templates of token sequences, joined as the sequences come.
+
+    A common subsequence of the asked length needs so many common tokens, so a template that takes a sequence has at least
+    one of the sequence's rarest tokens: an index of tokens finds all candidates, and tokens in common are counted before
+    subsequences are made.
+    """
+
+    def __init__(self, similar: float = SIMILAR):
+        self.similar, self.rows, self.having = similar, [], {}
+
+    def add(self, seq: list[str]) -> int:
+        """The number of the template that takes ``seq``, the first made of those that can."""
+        bag = Counter(seq)
+        need = math.ceil(self.similar * len(seq) - 1e-9)
+        rare = sorted(bag, key=lambda t: len(self.having.get(t, ())))
+        probe, covered = set(), 0
+        for t in rare:
+            if covered > len(seq) - need:
+                break
+            probe.update(self.having.get(t, ()))
+            covered += bag[t]
+        for i in sorted(probe):
+            have, counts = self.rows[i]
+            if (counts & bag).total() >= self.similar * max(len(have), len(seq)) - 1e-9 and (both := join_templates(have, seq, self.similar)) is not None:
+                self.rows[i] = (both, Counter(both))  # its tokens were indexed already: joining only takes tokens away
+                return i
+        i = len(self.rows)
+        self.rows.append((seq, bag))
+        for t in bag:
+            self.having.setdefault(t, []).append(i)
+        return i
+
+
+def _cluster(pdf: pd.DataFrame, source: str, keys: list[str], similar: float) -> pd.DataFrame:
+    """``keys, source, template`` of the sequences of a group, the most used first."""
+    pdf = pdf.sort_values(["n_lines", source], ascending=[False, True])
+    book = Clusters(similar)
+    at = [book.add(x.split(SEP)) for x in pdf[source]]
+    return pd.DataFrame({**{k: pdf[k] for k in keys}, source: pdf[source], "template": [SEP.join(book.rows[i][0]) for i in at]})
+
+
+def zone(template: list[str]) -> int:
+    """How many tokens of a template are its head: up to the last time, level or component in front of its first free slot.
+
+    Free are variable slots and words that name no field. 0 if there is no head: nothing typed, an indented line, or more than marks and
+    field names in front of the first time or level. A level without a time needs a mark behind it.
+    """
+    end, first, timed, upper = 0, None, False, False
+    for i, t in enumerate(template):
+        after = template[i + 1] if i + 1 < len(template) else ""
+        if t in ("<S>", "<*>", "<K>", "<U>"):
             break
-    if mark and time is None and (level is None or mark.lastgroup == "tag"):
-        tag = re.match(r"\[([A-Z]+)", line)
-        return None, LEVELS.get(tag[1]) if tag else None, None, line.strip(" =#*~").strip()
-    rest = line[end:]
-    if (m := re.search(r"\b(?:msg|message)\"?\s*[=:]\s*\"?(.*?)\"?\s*\}?\s*$", rest)):
-        named = re.search(r"\b(?:comp|component|logger|name)\"?\s*[=:]\s*\"?([\w.\-]+)", line)
-        level_named = re.search(r"\b(?:lvl|level|severity)\"?\s*[=:]\s*\"?(\w+)", line)
-        level = level or (LEVELS.get(level_named[1].upper()) if level_named else None)
-        return time, level, named[1] if named else comp, m[1]
-    if comp is None and (m := re.match(r"[\s\-|:\]\[<]*([\w.\-]+)\s+([\w./\-]+)\[\d+\]:\s*", rest)):
-        comp, rest = m[2], rest[m.end():]
-    if level is None and (m := re.match(r"[\s:]*<(\w+)>\s*", rest)) and m[1].upper() in LEVELS:
-        level, rest = LEVELS[m[1].upper()], rest[m.end():]
-    if comp:
-        comp = re.sub(r"(?:\[\d+\]|:\d+)$", "", comp)
-    return time, level, comp, re.sub(r"^[\s\-|:\]\)>]+", "", rest)
+        if t in ("<T>", "<L>", "<l>", "<G>"):
+            first = i if first is None else first
+            timed, upper = timed or t == "<T>", upper or t in ("<L>", "<G>")
+            end = i + 1
+        elif t[0] == "<" and t[-1] == ">" and len(t) > 2:
+            if first is None:
+                return 0
+            end = i + 1 if t == "<C>" or t == "<P>" else end
+        elif t[0].isalpha() and not (after == "=" or after == '"' and template[i + 2:i + 3] == [":"] or after == ":" and i == 0):
+            break
+    if first is None:
+        return 0
+    if not timed:
+        closed = template[first + 1:first + 2]
+        if not (closed and (closed[0] in _CLOSERS or closed[0] == "<C>") and (upper or first)):
+            return 0
+    return end
+
+
+def mark_kind(template: list[str]) -> str | None:
+    """The kind of head that a template without time is by its marks: 'warning' (code location and kind of warning), 'banner',
+    'tag' (a status or level in brackets), 'step' or 'progress' (a count of a total); None if it is none.
+    """
+    n, t = len(template), [*template, "", "", "", ""]
+    if t[0] == "<P>" and "<K>" in t[1:4]:
+        return "warning"
+    run = next((i for i, x in enumerate(template) if x != template[0]), n)
+    if run >= 3 and t[0] in ("=", "#", "*", "-", "~") and n > run and all(x == t[0] for x in template[-3:]):
+        return "banner"
+    if t[0] == "[" and t[1] in ("<U>", "<L>"):
+        close = next((i for i in range(2, n) if template[i] != "<U>"), n)
+        return "tag" if t[close] == "]" else None
+    total = ["<N>", "/", "<N>"]
+    if t[:5] == ["[", *total, "]"] and n > 5:
+        return "step"
+    lead = next((i for i, x in enumerate(template) if x not in (">", "=", "-", ":")), n)
+    if lead >= 2 and (t[lead - 1] == ">" or template[:2] == [":", ":"]):
+        at = lead + (t[lead] == "[")
+        return "progress" if t[at:at + 3] == total or t[at:at + 3] == ["<N>", "of", "<N>"] else None
+    return None
 
 
 def _clean(lines: DataFrame) -> DataFrame:
@@ -262,93 +254,121 @@ def _clean(lines: DataFrame) -> DataFrame:
             .filter("log_name is not null and line_no is not null").dropDuplicates(["log_name", "line_no"]))
 
 
-def templates(lines: DataFrame) -> DataFrame:
-    """Merged templates: ``head_key, template, n_lines, example``.
+def tokenised(lines: DataFrame) -> DataFrame:
+    """Lines with ``mask``, their token sequence ('' for blank lines), written once."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shapes = Shapes(lambda x: SEP.join(masked(x)) if x.strip() else "")
+        for pdf in batches:
+            yield pdf.assign(mask=[shapes.of(x) for x in pdf["raw_line"]])
+
+    return checkpointed(_clean(lines).mapInPandas(run, "line_id bigint, log_name string, line_no bigint, raw_line string, mask string"))
+
+
+def mined(masks: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """``mask, n_lines, template``: the template that every distinct token sequence belongs to.
 
-    Partition templates are few (distinct masked sequences, joined by likeness); they are counted by text before they meet,
-    and those of one head key and first token are merged in one group. Templates grow with the number of layouts, not of
-    lines; free text makes many, which the first token spreads.
+    Sequences are counted before they meet. Those whose first three tokens other than words agree are compared, in parts of
+    ``PART_SEQUENCES`` at most by their hash; templates of a group's parts that joined sequences are joined again over the whole
+    group. What a template is depends on the sequences and their counts alone, not on how the table is cut into tasks.
     """
-    def mine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        book, memo, out = Clusters(), {}, []
-        shapes = Shapes(lambda x: ((" " if x[0].isspace() else "") + "\x1f".join(seq := masked(x)), head_key(x), seq))
-        for pdf in batches:
-            for line in pdf["raw_line"]:
-                if not line.strip():
-                    continue
-                text, key, seq = shapes.of(line)
-                seen = memo.get(text)
-                if seen:
-                    seen[0] += 1
-                else:
-                    memo[text] = [1, key, seq, line]
-                if len(memo) >= 20_000:
-                    for n, k, s, x in memo.values():
-                        out += book.add(k, s, n, x)
-                    memo.clear()
-            if out:
-                yield frame(out)
-                out = []
-        for n, k, s, x in memo.values():
-            out += book.add(k, s, n, x)
-        yield frame(out + book.flush())
-
-    def frame(rows: list) -> pd.DataFrame:
-        return pd.DataFrame([(k, "\x1f".join(s), n, x) for k, s, n, x in rows], columns=["head_key", "template", "n_lines", "example"])
-
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        book = Clusters()
-        out: list = []
-        for r in pdf.sort_values(["n_lines", "template"], ascending=[False, True]).itertuples(index=False):
-            out += book.add(r.head_key, r.template.split("\x1f"), r.n_lines, r.example)
-        rows = out + book.flush()
-        return pd.DataFrame([(k, " ".join(s), n, x) for k, s, n, x in rows], columns=["head_key", "template", "n_lines", "example"])
-
-    schema = "head_key string, template string, n_lines bigint, example string"
-    local = lines.select("raw_line").mapInPandas(mine, schema)
-    counted = local.groupBy("head_key", "template").agg(F.sum("n_lines").alias("n_lines"), F.min("example").alias("example"))
-    return counted.groupBy("head_key", F.substring_index("template", "\x1f", 1).alias("first")).applyInPandas(merge, schema)
-
-
-def layouts(mined: DataFrame) -> DataFrame:
-    """One row a head key: does a line of it open an entry, and the kind of entry (the most used template decides)."""
-    def classify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    seqs = masks.filter("mask <> ''").groupBy("mask").agg(F.count("*").alias("n_lines"))
+    typed = F.filter(F.split("mask", SEP), lambda t: ~t.rlike(r"^[\p{L}]"))
+    keyed = seqs.withColumn("kind", F.concat_ws(SEP, F.slice(typed, 1, 3)))
+    parts = keyed.groupBy("kind").agg(F.ceil(F.count("*") / PART_SEQUENCES).alias("parts"))
+    dealt = salted_join(keyed, parts, ["kind"], F.col("mask"), how="inner").withColumn("part", F.pmod(F.xxhash64("mask"), F.col("parts")))
+    first = checkpointed(dealt.groupBy("kind", "part").applyInPandas(
+        lambda pdf: _cluster(pdf, "mask", ["kind", "parts", "n_lines"], similar), "kind string, parts bigint, n_lines bigint, mask string, template string"))
+    split = first.filter("parts > 1").groupBy("kind", "template").agg(F.sum("n_lines").alias("n_lines"), F.count("*").alias("m")).filter("m > 1").drop("m").withColumnRenamed("template", "was")
+    again = split.groupBy("kind").applyInPandas(lambda pdf: _cluster(pdf, "was", ["kind"], similar), "kind string, was string, template string")
+    return (first.withColumnRenamed("template", "was").join(again, ["kind", "was"], "left")
+            .select("mask", "n_lines", F.coalesce("template", "was").alias("template")))
+
+
+def layouts(members: DataFrame) -> DataFrame:
+    """``template, n_lines, n_sequences, kind, head``: what each template of :func:`mined` is, and its head's tokens.
+
+    A layout is what templates of several sequences have in front of their first free slot, if that holds a time or level
+    (:func:`zone`): only where messages differ behind it is it known that a time belongs to the layout and not to the text. A template
+    that begins like a layout is a 'record', the longest such layout its head. Marks of job scripts and warnings are told by the
+    places and types of a template's slots (:func:`mark_kind`). Others have a null kind: their lines open no entry.
+    """
+    per = members.groupBy("template").agg(F.sum("n_lines").alias("n_lines"), F.count("*").alias("n_sequences"))
+
+    def typed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            typed = [slots(x) for x in pdf["example"]]
-            yield pd.DataFrame({"head_key": pdf["head_key"], "n_lines": pdf["n_lines"], "head": [t["head"] for t in typed], "kind": [t["kind"] for t in typed]})
+            split = [x.split(SEP) for x in pdf["template"]]
+            ends = [zone(t) for t in split]
+            yield pdf.assign(mark=[mark_kind(t) for t in split], heads=[[SEP.join(t[:k]) for k in range(1, e + 1) if t[k - 1] in TYPED] for t, e in zip(split, ends, strict=True)],
+                             free=["<*>" in t for t in split])
 
-    typed = mined.mapInPandas(classify, "head_key string, n_lines bigint, head boolean, kind string")
-    return (typed.groupBy("head_key", "kind").agg(F.sum("n_lines").alias("n"), F.max("head").alias("head"))
-            .groupBy("head_key").agg(F.max_by(F.struct("head", "kind"), F.struct("n", "kind")).alias("s"))
-            .select("head_key", "s.head", "s.kind"))
+    told = checkpointed(per.mapInPandas(typed, "template string, n_lines bigint, n_sequences bigint, mark string, heads array<string>, free boolean"))
+    known = told.filter("free and mark is null and size(heads) > 0").select(F.element_at("heads", -1).alias("head")).distinct()
+    hit = (told.filter("mark is null").select("template", F.explode("heads").alias("head")).join(known, "head")
+           .groupBy("template").agg(F.max_by("head", F.length("head")).alias("head")))
+    return (told.join(hit, "template", "left").select("template", "n_lines", "n_sequences", F.coalesce("mark", F.when(F.col("head").isNotNull(), "record")).alias("kind"), "head"))
 
 
-def _assigned(lines: DataFrame) -> DataFrame:
-    """Lines with the number of their entry in the log (from 1; lines before the first head are left out)."""
-    clean = _clean(lines)
+def templates(lines: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """``template, n_lines, n_sequences, kind, head`` of all lines: constant tokens, typed slots <T>, <L>, ... and variable slots <*>."""
+    spaced = lambda c: F.replace(F.col(c), F.lit(SEP), F.lit(" ")).alias(c)
+    return layouts(mined(tokenised(lines), similar)).select(spaced("template"), "n_lines", "n_sequences", "kind", spaced("head"))
 
-    def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shapes = Shapes(head_key)
-        for pdf in batches:
-            yield pdf.assign(head_key=[shapes.of(x) for x in pdf["raw_line"]], solid=[bool(x.strip()) for x in pdf["raw_line"]])
 
-    marked = (checkpointed(clean.mapInPandas(keyed, "line_id bigint, log_name string, line_no bigint, raw_line string, head_key string, solid boolean"))
-              .join(checkpointed(layouts(templates(clean))), "head_key", "left")
-              .withColumns({"head": F.coalesce("head", F.lit(False)), "blk": F.floor(F.col("line_no") / BLOCK_LINES)}))
+def fields(line: str, kind: str | None, head: str | None) -> tuple[str | None, str | None, str | None, str]:
+    """Time, level, component and message of a line that opens an entry: the values at its layout's typed slots, and the rest."""
+    found = tokens(line)
+    text = lambda i: line[found[i][1]:found[i][2]]
+    if kind == "warning":
+        at = next(i for i, x in enumerate(found) if x[0] == "K")
+        return None, "WARNING", text(0), line[found[at][2]:].lstrip(": ") or text(at)
+    if kind != "record":
+        level = next((LEVELS[text(i).upper()] for i in range(min(2, len(found))) if found[i][0] in "Ll"), None) if kind == "tag" else None
+        return None, level, None, line.strip(" =#*~").strip()
+    time, level, comp, end = None, None, None, 0
+    for i, t in enumerate(head.split(SEP)):
+        if t == "<T>" and time is None:
+            time = text(i)
+        elif t in ("<L>", "<l>") and level is None:
+            level = LEVELS[text(i).upper()]
+        elif t == "<G>" and level is None:
+            level = LETTERS[text(i)]
+        elif t in ("<C>", "<P>") and comp is None:
+            comp = text(i)
+        end = found[i][2]
+    rest = line[end:]
+    if m := re.search(r"\b(?:msg|message)\"?\s*[=:]\s*\"?(.*?)\"?\s*\}?\s*$", rest):
+        return time, level, comp, m[1]
+    return time, level, re.sub(r"(?:\[\d+\]|:\d+)$", "", comp) if comp else None, re.sub(r"^[\s\-|:\]\)>]+", "", rest)
+
+
+def _assigned(lines: DataFrame, similar: float) -> DataFrame:
+    """Lines with the number of their entry in the log (from 1; lines before the first head are left out), and each head's kind and layout."""
+    told = tokenised(lines)
+    members = mined(told, similar)
+    heads = (members.join(layouts(members).filter("kind is not null").select("template", "kind", "head"), "template")
+             .select(*_same_mask(), "kind", F.col("head").alias("layout")))
+    # Only sequences of heads are joined back, by hashes; one sequence may be that of a third of all lines.
+    marked = (salted_join(told.select("line_id", "log_name", "line_no", "raw_line", (F.col("mask") != "").alias("solid"), *_same_mask()), heads, ["_h", "_g"], F.col("line_id")).drop("_h", "_g")
+              .withColumns({"head": F.col("kind").isNotNull(), "blk": F.floor(F.col("line_no") / BLOCK_LINES)}))
     return block_scan(marked, ["log_name"], "blk", [F.col("line_no")], sums={"entry": F.col("head").cast("bigint")}).filter("entry > 0")
 
 
+def _same_mask() -> list[Column]:
+    """96 bits that stand for a token sequence."""
+    return [F.xxhash64("mask").alias("_h"), F.hash("mask").alias("_g")]
+
+
 _BOUNDS = ("first_line_id", "last_line_id")
 
 
-def entry_bounds(lines: DataFrame) -> DataFrame:
+def entry_bounds(lines: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """``first_line_id, last_line_id`` of every entry as :func:`entries` has them, from aggregates alone: no text is gathered."""
-    return (_assigned(lines).groupBy("log_name", "entry")
+    return (_assigned(lines, similar).groupBy("log_name", "entry")
             .agg(F.min_by("line_id", "line_no").alias(_BOUNDS[0]), F.max_by("line_id", F.when(F.col("solid"), F.col("line_no"))).alias(_BOUNDS[1]))
             .select(*_BOUNDS))
 
 
-def entries(lines: DataFrame) -> DataFrame:
+def entries(lines: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """Entries with ``log_name, first_line_id, last_line_id, n_lines, part_no, kind, time, level, component, message``.
 
     An entry is one row (``part_no`` 0). Only where its lines lie in several blocks of ``BLOCK_LINES`` line numbers does the
@@ -358,21 +378,21 @@ def entries(lines: DataFrame) -> DataFrame:
     stay in its message. Null lines count as blank. Lines without log_name or line_no are left out, and of lines that agree
     in both, one counts. Empty tables give no rows.
     """
-    ordered, solid = _assigned(lines), F.col("solid")
+    ordered, solid = _assigned(lines, similar), F.col("solid")
     bounds = ordered.groupBy("log_name", "entry").agg(
         F.min_by("line_id", "line_no").alias("first_line_id"), F.max_by("line_id", F.when(solid, F.col("line_no"))).alias("last_line_id"),
-        F.max(F.when(solid, F.col("line_no"))).alias("last_no"), F.min("line_no").alias("first_no"), F.max(F.when(F.col("head"), F.col("kind"))).alias("kind"))
+        F.max(F.when(solid, F.col("line_no"))).alias("last_no"), F.min("line_no").alias("first_no"), F.max("kind").alias("kind"), F.max("layout").alias("layout"))
     parts = ordered.groupBy("log_name", "entry", "blk").agg(F.sort_array(F.collect_list(F.struct("line_no", "raw_line"))).alias("lines"))
     text = F.transform(F.filter("lines", lambda x: x["line_no"] <= F.col("last_no")), lambda x: x["raw_line"])
     flat = (parts.join(bounds, ["log_name", "entry"]).withColumns({"text": text, "part_no": (F.col("blk") - F.floor(F.col("first_no") / BLOCK_LINES)).cast("int")}).filter(F.size("text") > 0)
-            .select("log_name", "first_line_id", "last_line_id", (F.col("last_no") - F.col("first_no") + 1).alias("n_lines"), "part_no", "kind",
+            .select("log_name", "first_line_id", "last_line_id", (F.col("last_no") - F.col("first_no") + 1).alias("n_lines"), "part_no", "kind", "layout",
                     F.when(F.col("part_no") == 0, F.element_at("text", 1)).alias("head_line"),
                     F.when(F.col("part_no") == 0, F.array_join(F.slice("text", 2, F.greatest(F.size("text") - 1, F.lit(0))), "\n")).otherwise(F.array_join("text", "\n")).alias("more")))
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            got = [(None, None, None, None) if x is None else fields(x) for x in pdf["head_line"]]
+            got = [(None, None, None, None) if x is None else fields(x, k, h) for x, k, h in zip(pdf["head_line"], pdf["kind"], pdf["layout"], strict=True)]
             yield pdf.assign(time=[g[0] for g in got], level=[g[1] for g in got], component=[g[2] for g in got],
-                             message=[m if g[3] is None else g[3] + ("\n" + m if m else "") for g, m in zip(got, pdf["more"], strict=True)]).drop(columns=["head_line", "more"])
+                             message=[m if g[3] is None else g[3] + ("\n" + m if m else "") for g, m in zip(got, pdf["more"], strict=True)]).drop(columns=["head_line", "more", "layout"])
 
     return flat.mapInPandas(parse, "log_name string, first_line_id bigint, last_line_id bigint, n_lines bigint, part_no int, kind string, time string, level string, component string, message string")
