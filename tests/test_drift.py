@@ -25,15 +25,15 @@ def test_changes(spark):
     del moved["speaker"]
     bodies = [seg(**BASE), "```json\n" + seg(**BASE, tone="x") + "\n```", "broken [{", None, "[]", "﻿" + seg(**BASE), seg(**moved), seg(**{**moved, "start": "1.5"}),
               json.dumps({"file_id": "f", "segments": [{**moved, "start": "1.5"}]}), seg(**{k: v for k, v in moved.items() if k != "end"} | {"start": "2", "lang": "en"}), seg(**{k: None for k in moved})]
-    got = rows(drift.schema_changes(clashing(frame(spark, bodies))), "file_id", "change_kind", "old_field", "new_field")
+    got = rows(drift.schema_changes(drift.ingest(clashing(frame(spark, bodies)))), "file_id", "change_kind", "old_field", "new_field")
     assert got == [(10, "added", "", "lang"), (10, "removed", "end", ""), (10, "removed", "file_id", ""), (10, "removed", "segments", ""), (11, "added", "", "end"), (11, "removed", "lang", ""), (2, "added", "", "tone"),
                    (6, "removed", "tone", ""), (7, "renamed", "speaker", "who"), (8, "retyped", "start", "start"), (9, "added", "", "file_id"), (9, "added", "", "segments")]
 
 
-def test_rename_needs_meaning_and_type(spark):
+def test_rename_needs_one_target_or_meaning(spark):
     a, b = {**BASE, "tone": "calm"}, {**BASE, "lang": "en"}
-    got = rows(drift.schema_changes(frame(spark, [seg(**a), seg(**b), seg(**{k: v for k, v in b.items() if k != "start"}, begin="1.5")])), "file_id", "change_kind", "old_field", "new_field")
-    assert got == [(2, "added", "", "lang"), (2, "removed", "tone", ""), (3, "added", "", "begin"), (3, "removed", "start", "")]
+    got = rows(drift.schema_changes(drift.ingest(frame(spark, [seg(**a), seg(**b), seg(**{k: v for k, v in b.items() if k != "start"}, begin="1.5")]))), "file_id", "change_kind", "old_field", "new_field")
+    assert got == [(2, "added", "", "lang"), (2, "removed", "tone", ""), (3, "renamed", "start", "begin")]
 
 
 def test_ingest_and_promote(spark):
@@ -54,4 +54,37 @@ def test_unwrap():
 
 def test_empty(spark):
     e = spark.createDataFrame([], SCHEMA)
-    assert drift.schema_changes(e).count() == 0 and drift.ingest(e).count() == 0
+    assert drift.schema_changes(drift.ingest(e)).count() == 0 and drift.ingest(e).count() == 0
+
+
+def field(name, type="string", shape="string:code", target=None, values=()):
+    return {"field": name, "type": type, "shape": shape, "target": target, "values": list(values)}
+
+
+def test_meaning_is_told_by_target_values_and_names():
+    same = drift.same_meaning
+    assert same(field("start", "number", target="start"), field("t0", "string", target="start")) and not same(field("start", target="start"), field("stop", target="end"))
+    assert same(field("lang"), field("language")) and same(field("schemaRev"), field("schema_rev")) and not same(field("lang"), field("slang")) and not same(field("note"), field("footnotes"))
+    assert same(field("tone", values=[1, 2, 3]), field("mood", values=[2, 3, 9])) and not same(field("tone", values=[1, 2]), field("mood", values=[8, 9]))
+    assert not same(field("lang"), field("language", "number", "number")) and not same(field("tone"), field("label", target="speaker"))
+
+
+def leaves(x):
+    if isinstance(x, dict):
+        return [y for k, v in x.items() for y in leaves(v)]
+    return [y for v in x for y in leaves(v)] if isinstance(x, list) else [] if x is None else [x]
+
+
+def test_every_leaf_is_kept(spark):
+    bodies = [json.dumps(x) for x in (
+        {"speakers": ["A", "B"], "segments": [{"text": "x", "start": 1.5}, {"text": "y", "n": [7, {"z": 8}]}]}, {"meta": [{"a": 1}], "items": [{"text": "t", "a": 5}, "loose", 9]}, {"text": "hidden", "tags": ["q"], "rows": [{"text": "seen", "tags": 3}]},
+        {"segments": [], "note": "none"}, [1, 2], {"segments": ["only text"]})] + ["cut {\"a\": [", "plain words"]
+    got = {}
+    for r in drift.ingest(frame(spark, bodies)).collect():
+        got.setdefault(r.file_id, []).append(r)
+    for i, b in enumerate(bodies, 1):
+        kept = [str(v) for r in got[i] for v in (r.speaker, r.text, r.start_s, r.end_s, *leaves(json.loads(r.rescued or "{}"))) if v is not None]
+        value = drift.unwrap(b)
+        for leaf in [b] if value is None else leaves(value):
+            assert str(leaf) in kept, (i, leaf, kept)
+    assert [r.seg_no for r in got[2]] == [0, 1, 2] and got[2][0].text == "t" and [r.seg_no for r in got[4] + got[7]] == [None, None]

@@ -2,8 +2,8 @@
 
 Bodies are parsed once in Python workers (they are whole JSON texts behind assorted wrapping, which no columnar reader
 takes). Known fields go into typed target columns; what is unknown or can't be cast stays in a rescue column as JSON, from
-which approved fields are promoted later. The same parse gives each file's field types and value shapes, and files of an
-exporter are compared with the one before them.
+which approved fields are promoted later. The ingested table also holds each file's field profile (types, shapes and samples of
+values, target columns), and changes are what differs between the profiles of neighbouring files of an exporter.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import math
 import re
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -22,6 +23,8 @@ from voxloom.session import checkpointed
 
 #: Files of one exporter that fall into so many days are compared in one task.
 BLOCK_DAYS = 30
+#: Hashes of different values that a field's profile keeps.
+SKETCH = 16
 
 # Names in use for one meaning.
 MEANINGS = {
@@ -67,17 +70,22 @@ def unwrap(body: str | None):
     return None if set(rest) & set("{}[]") else value
 
 
-def records(value) -> tuple[dict, list[dict]]:
-    """The top-level object ({} if there is none) and its segment records."""
+def _known(records: list) -> int:
+    return sum(k.lower() in _MEANS for r in records if isinstance(r, dict) for k in r)
+
+
+def segment_list(value) -> tuple[str | None, list]:
+    """The key ('' for a bare list, None if there is none) and the items of the list that holds a file's segment records.
+
+    ``segments`` if it holds an object, else the list of objects with most known field names, of equal ones the longest.
+    """
     if isinstance(value, list):
-        return {}, [x for x in value if isinstance(x, dict)]
-    if isinstance(value, dict):
-        lists = [value["segments"]] if isinstance(value.get("segments"), list) else [x for x in value.values() if isinstance(x, list)]
-        for x in lists:
-            if found := [r for r in x if isinstance(r, dict)]:
-                return value, found
-        return value, []
-    return {}, []
+        return ("", value) if any(isinstance(x, dict) for x in value) else (None, [])
+    if not isinstance(value, dict):
+        return None, []
+    lists = [(k, x) for k, x in value.items() if isinstance(x, list) and any(isinstance(r, dict) for r in x)]
+    named = [x for x in lists if x[0] == "segments"]
+    return max(named or lists, key=lambda x: (_known(x[1]), len(x[1])), default=(None, []))
 
 
 def kind(value) -> str | None:
@@ -124,116 +132,162 @@ def shape(values: list) -> str:
     return "string:" + ("sentence" if words >= 4 else "name" if words >= 1.5 or any(v[:1].isupper() for v in values) else "code")
 
 
-def profile(body: str | None) -> list[tuple[str, str, str]] | None:
-    """(field, type, shape) of a file, sorted; None if it can't be parsed or has no segments. Type '' is not known."""
-    top, rows = records(unwrap(body))
-    if not rows:
-        return None
+def sketch(values: list) -> list[int]:
+    """The least hashes of the different strings among ``values``: enough to tell whether two fields hold the same."""
+    return sorted(zlib.crc32(v.strip().lower().encode("utf-8", "surrogatepass")) for v in {v for v in values if isinstance(v, str) and v.strip()})[:SKETCH]
+
+
+def profile(top: dict, rows: list[dict]) -> list[dict]:
+    """``field, type, shape, target, values`` of a file's fields, by name. Type '' is not known (nulls only)."""
     seen: dict[str, list] = {}
     for r in [top, *rows]:
         for k, v in r.items():
             seen.setdefault(k, []).append(v)
-    out = []
-    for k, vs in sorted(seen.items()):
-        types = sorted({t for v in vs if (t := kind(v))})
-        out.append((k, "+".join(types), shape(vs)))
-    return out
+    return [{"field": k, "type": "+".join(sorted({t for v in vs if (t := kind(v))})), "shape": shape(vs), "target": _MEANS.get(k.lower()), "values": sketch(vs)} for k, vs in sorted(seen.items())]
 
 
-def same_meaning(old: tuple[str, str, str], new: tuple[str, str, str]) -> bool:
-    """Do two names of equal type mean one thing: by the known names, and by value shape where neither is known."""
-    a, b = _MEANS.get(old[0].lower()), _MEANS.get(new[0].lower())
-    if a or b:
-        return a == b
-    squash = [re.sub(r"[^a-z0-9]", "", x[0].lower()) for x in (old, new)]
-    return squash[0] == squash[1] or min(map(len, squash)) >= 3 and (squash[0] in squash[1] or squash[1] in squash[0])
+def _name_parts(name: str) -> list[str]:
+    return [x.lower() for x in re.findall(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+", name)]
 
 
-def changes(old: list[tuple[str, str, str]], new: list[tuple[str, str, str]]) -> list[tuple[str, str, str]]:
+def same_meaning(old: dict, new: dict) -> bool:
+    """Are two fields one under another name.
+
+    Fields that ingestion casts to one target column are, whatever JSON type they arrive in: the column's type is the same. Other
+    fields must agree in type, and hold the same strings (half of the different ones, two at least), or have a like shape of values
+    and like names: the same parts, or one part that begins the other.
+    """
+    if old["target"] and new["target"]:
+        return old["target"] == new["target"]
+    if old["type"] and new["type"] and old["type"] != new["type"]:
+        return False
+    common = len(set(old["values"]) & set(new["values"]))
+    if common >= 2 and 2 * common >= min(len(old["values"]), len(new["values"])):
+        return True
+    if old["target"] or new["target"] or (old["shape"] and new["shape"] and old["shape"].split(":grows")[0] != new["shape"].split(":grows")[0]):
+        return False
+    a, b = _name_parts(old["field"]), _name_parts(new["field"])
+    if "".join(a) == "".join(b):
+        return True
+    short, long_ = sorted(("".join(a), "".join(b)), key=len)
+    return len(short) >= 3 and (long_.startswith(short) or bool(a) and bool(b) and (set(a) <= set(b) or set(b) <= set(a)))
+
+
+def changes(old: list[dict], new: list[dict]) -> list[tuple[str, str, str]]:
     """(change_kind, old_field, new_field) from one file's profile to the next one's."""
-    was, now = {p[0]: p for p in old}, {p[0]: p for p in new}
+    was, now = {p["field"]: p for p in old}, {p["field"]: p for p in new}
     gone, come = [p for k, p in was.items() if k not in now], [p for k, p in now.items() if k not in was]
     out = []
     for g in gone:
-        match = next((c for c in come if same_meaning(g, c) and (g[1] == c[1] or not g[1] or not c[1])), None)
+        match = next((c for c in come if same_meaning(g, c)), None)
         if match:
             come.remove(match)
-            out.append(("renamed", g[0], match[0]))
+            out.append(("renamed", g["field"], match["field"]))
         else:
-            out.append(("removed", g[0], ""))
-    out += [("added", "", c[0]) for c in come]
-    out += [("retyped", k, k) for k in was.keys() & now.keys() if was[k][1] and now[k][1] and was[k][1] != now[k][1]]
+            out.append(("removed", g["field"], ""))
+    out += [("added", "", c["field"]) for c in come]
+    out += [("retyped", k, k) for k in was.keys() & now.keys() if was[k]["type"] and now[k]["type"] and was[k]["type"] != now[k]["type"]]
     return sorted(out)
 
 
 def _files(files: DataFrame) -> DataFrame:
-    return files.select("file_id", "exporter", "produced_at", "body", *(["lecture_id"] if "lecture_id" in files.columns else [F.lit(None).cast("string").alias("lecture_id")])
+    return files.select("file_id", "exporter", F.col("produced_at").cast("timestamp").alias("produced_at"), "body", *(["lecture_id"] if "lecture_id" in files.columns else [F.lit(None).cast("string").alias("lecture_id")])
                         ).filter("file_id is not null").dropDuplicates(["file_id"])
 
 
-def schema_changes(files: DataFrame) -> DataFrame:
-    """``exporter, file_id, change_kind, old_field, new_field``: each change with the file that brings it.
+SEGMENTS = "file_id bigint, exporter string, lecture_id string, produced_at timestamp, seg_no int, speaker string, text string, start_s double, end_s double, rescued string, profile string"
 
-    Files of an exporter are taken in order of (produced_at, file_id). Files that can't be parsed or have no segments are
-    passed over; so are files without exporter or produced_at, which have no place in an order. Files that arrive twice
-    count once. An empty table gives no rows.
-    """
-    def profiled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = pdf[["file_id", "exporter", "produced_at"]].copy()
-            out["fields"] = [None if (p := profile(b)) is None else json.dumps(p) for b in pdf["body"]]
-            yield out[out["fields"].notna()]
 
-    def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = [(r.exporter, r.file_id, *c) for r in pdf.itertuples(index=False)
-                    for c in changes([tuple(x) for x in json.loads(r.before)], [tuple(x) for x in json.loads(r.fields)])]
-            yield pd.DataFrame(rows, columns=["exporter", "file_id", "change_kind", "old_field", "new_field"])
+def cast_to(target: str | None, value):
+    """A value as the target column takes it, or None: seconds for times, text as it is, a speaker's name, number or name of an object."""
+    if target in ("start", "end"):
+        return seconds(value)
+    if isinstance(value, str):
+        return value if target else None
+    if target == "speaker":
+        if isinstance(value, dict):
+            return value["name"] if isinstance(value.get("name"), str) else None
+        return str(value) if isinstance(value, int) and not isinstance(value, bool) else None
+    return None
 
-    clean = _files(files).filter("exporter is not null and produced_at is not null").select("file_id", "exporter", F.col("produced_at").cast("timestamp").alias("produced_at"), "body")
-    told = checkpointed(clean.mapInPandas(profiled, "file_id bigint, exporter string, produced_at timestamp, fields string")
-                        .withColumn("blk", F.floor(F.unix_timestamp("produced_at") / (86400 * BLOCK_DAYS))))
-    before = block_lag(told, ["exporter"], "blk", [F.col("produced_at"), F.col("file_id")], {"before": F.col("fields")})
-    return (before.filter("before is not null and before <> fields").select("exporter", "file_id", "before", "fields")
-            .mapInPandas(compared, "exporter string, file_id bigint, change_kind string, old_field string, new_field string"))
 
+def segment_rows(body: str | None) -> list[tuple]:
+    """(seg_no, speaker, text, start_s, end_s, rescued, profile) rows of one body; see :func:`ingest`."""
+    value = unwrap(body)
+    if value is None:
+        return [] if body is None else [(None, None, None, None, None, _json({"_body": body}), None)]
+    where, items = segment_list(value)
+    if where is None:
+        return [(None, None, None, None, None, _json(value if isinstance(value, dict) else {"_value": value}), None)]
+    top = value if where else {}
+    each = {k: v for k, v in top.items() if not isinstance(v, (list, dict))}
+    # What is no single value stands once a file, and so does what a segment's own field of that name hides.
+    records = [x for x in items if isinstance(x, dict)]
+    hidden = {k: v for k, v in each.items() if v is not None and any(k in r for r in records)}
+    once = {k: v for k, v in top.items() if k not in each and k != where}
+    told = _json(profile(top, records))
+    out = []
+    for i, item in enumerate(items):
+        got, left = dict.fromkeys(TARGET), {}
+        if not isinstance(item, dict):
+            left["_value"] = item
+        for k, v in (each | item if isinstance(item, dict) else {}).items():
+            target = _MEANS.get(k.lower())
+            cast = cast_to(target, v) if target and got[target] is None else None
+            if cast is not None:
+                got[target] = cast
+            if v is not None and (cast is None or isinstance(v, dict)):
+                left[k] = v
+        if i == 0:
+            left = {k: v for k, v in once.items() if k not in left} | left
+            clash = hidden | {k: v for k, v in once.items() if k in left and left[k] is not v}
+            if clash:
+                left["_top"] = clash
+        out.append((i, *got.values(), _json(left) if left else None, told if i == 0 else None))
+    return out
 
-SEGMENTS = "file_id bigint, exporter string, lecture_id string, seg_no int, speaker string, text string, start_s double, end_s double, rescued string"
+
+def _json(value) -> str:
+    return json.dumps(value, ensure_ascii=False, sort_keys=True)
 
 
 def ingest(files: DataFrame) -> DataFrame:
-    """One row a segment in the target schema; ``rescued`` holds unknown and uncastable fields as a JSON object, else null.
+    """One row a segment in the target schema; ``rescued`` keeps, as a JSON object, every value that no target column took.
 
-    Fields of the top-level object (but for the list of segments) are put beside those of each segment, which win where
-    names clash. Files that can't be parsed or have no segments give no rows; null bodies likewise.
+    Single values of the top-level object are put beside those of each segment, which win where names clash; lists and objects of
+    the top level (but for the list of segments) and values that a segment's field hides (under ``_top``) are kept with the first
+    segment. An item of the list that is no object is a row with its value under ``_value``. A body without segments is one row without
+    ``seg_no``: what could be parsed is rescued, else the raw body under ``_body``. Null bodies give no rows, files that arrive twice
+    count once. ``profile``, on a file's first segment, tells its fields with type, shape of values and target column.
     """
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = [x.split()[0] for x in SEGMENTS.split(", ")]
         for pdf in batches:
-            out = []
-            for r in pdf.itertuples(index=False):
-                top, found = records(unwrap(r.body))
-                base = {k: v for k, v in top.items() if not isinstance(v, list)}
-                for i, seg in enumerate(found):
-                    got, left = dict.fromkeys(TARGET), {}
-                    for k, v in (base | seg).items():
-                        meaning = _MEANS.get(k.lower())
-                        cast = None
-                        if meaning in ("start", "end"):
-                            cast = seconds(v)
-                        elif meaning == "text":
-                            cast = v if isinstance(v, str) else None
-                        elif meaning == "speaker":
-                            cast = v if isinstance(v, str) else str(v) if isinstance(v, int) and not isinstance(v, bool) else v.get("name") if isinstance(v, dict) and isinstance(v.get("name"), str) else None
-                        if cast is not None and got[meaning] is None:
-                            got[meaning] = cast
-                        elif v is not None:
-                            left[k] = v
-                        if meaning == "speaker" and isinstance(v, dict):
-                            left[k] = v
-                    out.append((r.file_id, r.exporter, r.lecture_id, i, *got.values(), json.dumps(left, ensure_ascii=False, sort_keys=True) if left else None))
-            yield pd.DataFrame(out, columns=[x.split()[0] for x in SEGMENTS.split(", ")])
-
-    return _files(files).select("file_id", "exporter", "lecture_id", "body").mapInPandas(rows, SEGMENTS)
+            out = [(r.file_id, r.exporter, r.lecture_id, r.produced_at, *row) for r in pdf.itertuples(index=False) for row in segment_rows(r.body)]
+            frame = pd.DataFrame(out, columns=names)
+            frame["seg_no"] = frame["seg_no"].astype("Int32")
+            yield frame
+
+    return _files(files).select("file_id", "exporter", "lecture_id", "produced_at", "body").mapInPandas(rows, SEGMENTS)
+
+
+def schema_changes(segments: DataFrame) -> DataFrame:
+    """``exporter, file_id, change_kind, old_field, new_field``: each change with the file that brings it, from ingested segments.
+
+    Files of an exporter are taken in order of (produced_at, file_id). Files that couldn't be parsed or have no segments have no
+    profile and are passed over; so are files without exporter or produced_at, which have no place in an order. An empty table gives
+    no rows.
+    """
+    def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = [(r.exporter, r.file_id, *c) for r in pdf.itertuples(index=False) for c in changes(json.loads(r.before), json.loads(r.profile))]
+            yield pd.DataFrame(rows, columns=["exporter", "file_id", "change_kind", "old_field", "new_field"])
+
+    told = checkpointed(segments.filter("profile is not null and exporter is not null and produced_at is not null").select("exporter", "file_id", "produced_at", "profile")
+                        .withColumn("blk", F.floor(F.unix_timestamp("produced_at") / (86400 * BLOCK_DAYS))))
+    before = block_lag(told, ["exporter"], "blk", [F.col("produced_at"), F.col("file_id")], {"before": F.col("profile")})
+    return (before.filter("before is not null and before <> profile").select("exporter", "file_id", "before", "profile")
+            .mapInPandas(compared, "exporter string, file_id bigint, change_kind string, old_field string, new_field string"))
 
 
 def promote(segments: DataFrame, fields: dict[str, str]) -> DataFrame:

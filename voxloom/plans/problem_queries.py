@@ -39,11 +39,11 @@ def p6_templates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, sf: str) -> DataFrame:
-    return drift.schema_changes(table(spark, sf, "gemini_files"))
+    return drift.schema_changes(drift.ingest(table(spark, sf, "gemini_files")))
 
 
 def p7_segments(spark: SparkSession, sf: str) -> DataFrame:
-    return drift.ingest(table(spark, sf, "gemini_files"))
+    return drift.ingest(table(spark, sf, "gemini_files")).drop("profile")
 
 
 def p7_promoted(spark: SparkSession, sf: str) -> DataFrame:
