@@ -303,3 +303,26 @@ def test_relational_and_search(spark):
     v = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.9, 0.1]), (3, [0.0, 1.0]), (4, None)], "vec_id long, embedding array<double>")
     assert [(r.query, r.neighbour) for r in search.nearest_vectors(v, v.filter("vec_id = 1")).collect()] == [(1, 2)]
     assert [r.neighbour for r in search.nearest_vectors(v, v.filter("vec_id = 1"), k=2).orderBy("distance").collect()] == [2, 3]
+
+
+def test_long_and_endless_intervals_meet_exactly(spark):
+    import random
+
+    random.seed(3)
+
+    def made(n):
+        out = []
+        for i in range(n):
+            s, length = random.randrange(0, 20_000_000), random.choice([0, 500, 5000, 40_000, 3_600_000, 9_000_000, 10**13 if i % 40 == 0 else 100])
+            out.append((random.choice(["k", "k", "k", "m", None]), i, s, s + length))
+        return out
+
+    A, B = made(300), made(300)
+    a = spark.createDataFrame(A,"lecture_id string, id long, s long, e long")
+    b = spark.createDataFrame(B,"lecture_id string, id long, s long, e long")
+    got = sorted((r.a_id, r.b_id, r.ov) for r in intervals.overlap_pairs(a, b).collect())
+    want = sorted((x[1], y[1], min(x[3], y[3]) - max(x[2], y[2])) for x in A for y in B if x[0] and x[0] == y[0] and x[3] > x[2] and y[3] > y[2] and min(x[3], y[3]) > max(x[2], y[2]))
+    assert got == want and len(want) > 1000
+    assert sorted(r.id for r in intervals.overlapping(a, b, "id").collect()) == sorted({w[0] for w in want})
+    same = intervals.overlap_pairs(a, a).filter("a_id = b_id").count()
+    assert same == sum(1 for x in A if x[0] and x[3] > x[2])
