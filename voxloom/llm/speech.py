@@ -207,12 +207,21 @@ def cluster_labels(keys: list[str], counts: list[int], sure: list[bool] | None =
     for k in full:
         for w in {parts[k][0], parts[k][-1]}:
             by_word.setdefault(w, []).append(k)
-    # Full names that share one word and are one letter apart in the other.
-    for group in by_word.values():
-        for a, b in zip(group, group[1:]):
-            (g1, s1), (g2, s2) = (parts[a][0], parts[a][-1]), (parts[b][0], parts[b][-1])
-            if (g1 == g2 and min(len(s1), len(s2)) >= 5 and near(s1, s2)) or (s1 == s2 and min(len(g1), len(g2)) >= 4 and near(g1, g2)):
-                union.join(a, b)
+    # Full names that share one word and are one letter apart in the other: two such words have a form with one letter less in common,
+    # so every pair of near names meets under one of these keys, however many names share the word.
+    met: dict[tuple, list[str]] = {}
+    for k in full:
+        given, surname = parts[k][0], parts[k][-1]
+        for side, kept, other, least in ((0, given, surname, 5), (1, surname, given, 4)):
+            if len(other) >= least:
+                for form in {other, *(other[:i] + other[i + 1:] for i in range(len(other)))}:
+                    met.setdefault((side, kept, form), []).append(k)
+    for (side, _, _), group in met.items():
+        word = -1 if side == 0 else 0
+        for i, a in enumerate(group):
+            for b in group[i + 1:]:
+                if union.find(a) != union.find(b) and near(parts[a][word], parts[b][word]):
+                    union.join(a, b)
 
     def fit(options: list[str], k: str) -> None:
         roots = {union.find(o) for o in options}
@@ -250,13 +259,27 @@ def speakers(parsed: DataFrame) -> DataFrame:
     seen = (parsed.select("lecture_id", F.explode(F.array(F.struct(F.col("own").alias("label"), F.lit(1).alias("sure")), F.struct(F.col("lead").alias("label"), F.col("lead_named").cast("int").alias("sure")))).alias("x"))
             .filter("x.label is not null").groupBy("lecture_id", F.col("x.label").alias("label")).agg(F.count("*").alias("n"), F.max("x.sure").alias("sure")))
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("label")
-        names = cluster_labels(list(pdf["label"]), list(pdf["n"]), [bool(x) for x in pdf["sure"]])
-        rows = [(pdf["lecture_id"].iloc[0], k, v) for k, v in names.items()]
-        return pd.DataFrame(rows, columns=["lecture_id", "label", "speaker"])
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Lectures come whole and in order within a task; one may go over the end of a batch."""
+        lecture, held = None, []
+
+        def close() -> list[tuple]:
+            names = cluster_labels([r.label for r in held], [r.n for r in held], [bool(r.sure) for r in held]) if held else {}
+            return [(lecture, k, v) for k, v in names.items()]
 
-    return seen.groupBy("lecture_id").applyInPandas(one, "lecture_id string, label string, speaker string")
+        for pdf in batches:
+            out = []
+            for r in pdf.itertuples(index=False):
+                if r.lecture_id != lecture:
+                    out += close()
+                    lecture, held = r.lecture_id, []
+                held.append(r)
+            yield pd.DataFrame(out, columns=["lecture_id", "label", "speaker"])
+        yield pd.DataFrame(close(), columns=["lecture_id", "label", "speaker"])
+
+    # The number of tasks is given: labels are few bytes and much work, so they must not be put together by size.
+    tasks = parsed.sparkSession.sparkContext.defaultParallelism
+    return seen.repartition(tasks, "lecture_id").sortWithinPartitions("lecture_id", "label").mapInPandas(run, "lecture_id string, label string, speaker string")
 
 
 def attributed(parsed: DataFrame) -> DataFrame:

@@ -6,13 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.llm.speech import ORDER, attributed, parse, with_text
+from voxloom.operators.intervals import overlap_pairs
 from voxloom.operators.scan import block_lag, block_scan, ms
 from voxloom.session import checkpointed
 
-#: Width of the time bins in which records meet the segments of the second transcript.
-BIN_MS = 60_000
-#: A record that claims to last longer is taken to last so long from its start.
-LONGEST_MS = 3_600_000
+#: A record without an end lasts so long.
+UNENDED_MS = 10_000
 
 
 def turn_records(parsed: DataFrame) -> DataFrame:
@@ -45,19 +44,12 @@ def speaker_turns(gemini: DataFrame, whisper: DataFrame) -> DataFrame:
     parts = with_text(rows, parsed).groupBy("lecture_id", "turn_no", "blk").agg(
         F.max("speaker").alias("speaker"), F.min(ORDER).alias("first_gem_id"), F.max(ORDER).alias("last_gem_id"), F.count("*").alias("n_records"),
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(ORDER, "text"))), lambda x: x["text"]), " ").alias("text"))
-    own = rows.select("lecture_id", "turn_no", ORDER, ms(F.col("start_s")).alias("a"), ms(F.col("end_s")).alias("b")).filter("a is not null")
-    long_ = F.coalesce(F.col("b"), F.col("a") + 10_000)
-    spans = own.withColumn("b", F.least(F.greatest(long_, F.col("a") + 1), F.col("a") + LONGEST_MS))
-    binned = spans.withColumn("bin", F.explode(F.sequence(F.floor(F.col("a") / BIN_MS), F.floor(F.col("b") / BIN_MS))))
-    segs = (whisper.select("seg_id", "lecture_id", ms(F.col("start_s")).alias("s"), ms(F.col("end_s")).alias("e")).filter("s is not null and e is not null and e > s and lecture_id is not null")
-            .dropDuplicates(["seg_id"]).withColumn("e2", F.least("e", F.col("s") + LONGEST_MS))
-            .withColumn("bin", F.explode(F.sequence(F.floor(F.col("s") / BIN_MS), F.floor(F.col("e2") / BIN_MS)))))
-    over = F.least("b", "e") - F.greatest("a", "s")
-    # A pair that shares several bins is one candidate: only its first common bin counts.
-    pairs = segs.join(binned, ["lecture_id", "bin"]).filter((over > 0) & (F.col("bin") == F.floor(F.greatest("a", "s") / BIN_MS)))
-    best = pairs.groupBy("seg_id", "lecture_id").agg(F.max_by(F.struct("turn_no", "s", "e"), F.struct(over, -F.col(ORDER))).alias("x"))
+    own = rows.select("lecture_id", "turn_no", ORDER, ms(F.col("start_s")).alias("s"), ms(F.col("end_s")).alias("_end")).filter("s is not null")
+    spans = own.withColumn("e", F.greatest(F.coalesce("_end", F.col("s") + UNENDED_MS), F.col("s") + 1)).drop("_end")
+    segs = whisper.select("seg_id", "lecture_id", ms(F.col("start_s")).alias("s"), ms(F.col("end_s")).alias("e")).filter("seg_id is not null and s is not null and e is not null").dropDuplicates(["seg_id"])
+    best = overlap_pairs(segs, spans).groupBy("lecture_id", "a_seg_id").agg(F.max_by(F.struct(F.col("b_turn_no").alias("turn_no"), F.col("a_s").alias("s"), F.col("a_e").alias("e")), F.struct("ov", -F.col(f"b_{ORDER}"))).alias("x"))
     times = best.groupBy("lecture_id", F.col("x.turn_no").alias("turn_no")).agg(F.min("x.s").alias("ws"), F.max("x.e").alias("we"), F.count("*").alias("n_segments"))
-    span = spans.groupBy("lecture_id", "turn_no").agg(F.min("a").alias("gs"), F.max("b").alias("ge"))
+    span = spans.groupBy("lecture_id", "turn_no").agg(F.min("s").alias("gs"), F.max("e").alias("ge"))
     first = rows.groupBy("lecture_id", "turn_no").agg(F.min("blk").alias("_b0"))
     return (parts.join(first, ["lecture_id", "turn_no"]).join(times, ["lecture_id", "turn_no"], "left").join(span, ["lecture_id", "turn_no"], "left")
             .select("lecture_id", "turn_no", (F.col("blk") - F.col("_b0")).cast("int").alias("part_no"), "speaker", "first_gem_id", "last_gem_id", "n_records", "text",
