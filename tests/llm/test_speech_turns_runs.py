@@ -83,30 +83,75 @@ def test_long_run_over_blocks(spark, monkeypatch):
     assert got == [(1, 40, 40), (41, 41, 1)]
 
 
-def brute(keys):
-    """Fewest runs, longest first runs among those."""
-    best = {len(keys): (0, ())}
-    for i in range(len(keys) - 1, -1, -1):
-        options = []
-        for j in range(i, len(keys)):
-            if all(runs.same(keys[i], k) for k in keys[i:j + 1]):
-                n, rest = best[j + 1]
-                options.append((n + 1, -j, ((i, j), *rest)))
-        n, _, parts = min(options)
-        best[i] = (n, parts)
-    return list(best[0][1])
-
-
-def test_segmentation_is_optimal():
+def cost(texts, parts, penalty, limit):
+    return sum(penalty + sum(runs.dissimilarity(texts[i], t, limit) for t in texts[i:j + 1]) for i, j in parts)
+
+
+def brute(texts, penalty, limit):
+    """The least cost of all segmentations."""
+    best = [0.0]
+    for j in range(len(texts)):
+        best.append(min(best[i] + cost(texts, [(i, j)], penalty, limit) for i in range(j + 1)))
+    return best[-1]
+
+
+@pytest.mark.parametrize("penalty,limit", [(1.0, 0.0), (0.1, 0.0), (0.3, 0.5), (2.0, 0.7)])
+def test_segmentation_is_optimal(penalty, limit):
     rng = random.Random(3)
+    for _ in range(300):
+        texts = ["".join(rng.choice("ab") for _ in range(rng.randint(1, 6))) for _ in range(rng.randint(1, 10))]
+        got = runs.segment(texts, penalty, limit)
+        assert [x for i, j in got for x in range(i, j + 1)] == list(range(len(texts)))
+        assert abs(cost(texts, got, penalty, limit) - brute(texts, penalty, limit)) < 1e-9
+
+
+def test_penalty_and_limit_change_the_segmentation():
+    texts = ["come in please", "come in plese", "come on in please", "something else"]
+    assert runs.segment(texts) == [(0, 1), (2, 2), (3, 3)] and runs.segment(texts, penalty=0.01) == [(0, 0), (1, 1), (2, 2), (3, 3)]
+    assert runs.segment(texts, penalty=1.0, limit=0.3) == [(0, 2), (3, 3)] and runs.segment(texts, penalty=0.1, limit=0.3) == [(0, 1), (2, 2), (3, 3)]
+
+
+def test_segmentation_holds_only_what_is_open():
+    s, most = runs.Segmentation(), 0
+    for i in range(10_000):
+        s.add("ab" * (i % 7) + "xyz")
+        most = max(most, len(s.start), len(s.open))
+    assert most < 20
+    for i in range(10_000):
+        s.add("please come in" if i % 2 else "plese come in")
+    assert len(s.open) <= 2 and s.close()[-1][1] == s.at - 1
+
+
+def test_letters_apart():
+    def slow(a, b):
+        d = {(i, j): i + j for i in range(len(a) + 1) for j in range(len(b) + 1) if not i or not j}
+        for i in range(1, len(a) + 1):
+            for j in range(1, len(b) + 1):
+                d[i, j] = min(d[i - 1, j] + 1, d[i, j - 1] + 1, d[i - 1, j - 1] + (a[i - 1] != b[j - 1]))
+                if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                    d[i, j] = min(d[i, j], d[i - 2, j - 2] + 1)
+        return d[len(a), len(b)]
+
+    rng = random.Random(5)
     for _ in range(500):
-        keys = ["w:" + "".join(rng.choice("ab") for _ in range(rng.randint(2, 4))) for _ in range(rng.randint(1, 9))]
-        assert runs.segment(keys, [1] * len(keys)) == brute(keys)
+        a, b = ("".join(rng.choice("abc") for _ in range(rng.randint(0, 9))) for _ in range(2))
+        assert runs.letters_apart(a, b, 4) == min(slow(a, b), 5)
 
 
 def test_same():
-    assert runs.same("w:abcd", "w:abdc") and runs.same("w:abcd", "w:abbcd") and not runs.same("w:abcd", "w:badc")
-    assert not runs.same("w:a1", "w:a2") and not runs.same("n:x", "n:y") and runs.same("e:", "e:")
+    assert runs.same("abcd", "abdc") and runs.same("abcd", "abbcd") and not runs.same("abcd", "badc") and not runs.same("a1", "a2") and runs.same("", "")
+
+
+def test_near_names_are_joined_whatever_stands_between():
+    got = speech.cluster_labels(["catherine smith", "john smith", "katherine smith", "john smiht", "john smitg"], [1, 2, 3, 4, 5])
+    assert got["catherine smith"] == got["katherine smith"] != got["john smith"] and len({got[k] for k in ("john smith", "john smiht", "john smitg")}) == 1
+
+
+def test_long_records_keep_all_their_segments(spark):
+    g = spark.createDataFrame([(1, "l", "Ann Lee", "a long talk", 0.0, 9_000.0, "r", T0), (2, "l", "Bob Ray", "no end at all", 9_000.0, 1e12, "r", T0)], SCHEMA)
+    w = spark.createDataFrame([(1, "l", 10.0, 20.0), (2, "l", 5000.0, 5010.0), (3, "l", 20_000.0, 20_010.0)], "seg_id long, lecture_id string, start_s double, end_s double")
+    got = {r.turn_no: (r.start_s, r.end_s, r.n_segments) for r in turns.speaker_turns(g, w).collect()}
+    assert got == {1: (10.0, 5010.0, 2), 2: (20_000.0, 20_010.0, 1)}
 
 
 def test_empty_tables_and_long_text(spark):

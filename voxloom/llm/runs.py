@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 
 import pandas as pd
@@ -12,56 +13,111 @@ from voxloom.llm.speech import ORDER, attributed, near, parse, with_text
 from voxloom.operators.scan import block_lag, block_scan
 from voxloom.session import checkpointed
 
-#: Cost of a boundary between runs, and of an event in a run that it doesn't fit.
-PENALTY, MISFIT = 1.0, float("inf")
+#: Cost of a boundary between runs, in shares of letters that differ.
+PENALTY = 1.0
 
 
 def same(a: str, b: str) -> bool:
-    """Two keys are one event: equal, or one slip of typing in the letters of spoken words apart."""
-    if a == b:
-        return True
-    if a[:2] != "w:" or b[:2] != "w:" or not near(a, b):
-        return False
-    return [c for c in a if c.isdigit()] == [c for c in b if c.isdigit()]
-
-
-def segment(keys: list[str], weights: list[int], penalty: float = PENALTY, misfit: float = MISFIT) -> list[tuple[int, int]]:
-    """Optimal segmentation as (first, last) indexes: least sum of within-run dissimilarity and boundary penalties.
-
-    The dissimilarity of a run is the weighted misfit of its events to its first one. From the right, ``best[i]`` is the
-    least cost of the events from i on; ends of a run that starts at i are tried outwards and pruned as soon as the run
-    alone costs more than the best found, since what follows can't be cheaper than nothing. Of equal costs the longer first
-    run is taken.
+    """Two texts' letters are one event: equal, or one slip of typing apart, no digit differing."""
+    return a == b or near(a, b) and [c for c in a if c.isdigit()] == [c for c in b if c.isdigit()]
+
+
+def letters_apart(a: str, b: str, most: int) -> int:
+    """Letters wrong, missing, added, or swapped with their neighbour; more than ``most`` counts as ``most`` + 1."""
+    if abs(len(a) - len(b)) > most:
+        return most + 1
+    before, row = [], list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        lo, hi = max(1, i - most), min(len(b), i + most)
+        new = [most + 1] * (len(b) + 1)
+        new[0] = i
+        for j in range(lo, hi + 1):
+            new[j] = min(row[j - 1] + (x != b[j - 1]), row[j] + 1, new[j - 1] + 1)
+            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == b[j - 1]:
+                new[j] = min(new[j], before[j - 2] + 1)
+        if min(new[lo - 1:hi + 1]) > most:
+            return most + 1
+        before, row = row, new
+    return min(row[-1], most + 1)
+
+
+def dissimilarity(first: str, other: str, limit: float = 0.0) -> float:
+    """Share of letters in which an event differs from its run's first one; infinite where it can't be in that run.
+
+    One slip is always allowed, more up to ``limit`` as a share of the longer text's letters. Another number is another event.
     """
-    n = len(keys)
-    best, to = [0.0] * (n + 1), [0] * n
-    for i in range(n - 1, -1, -1):
-        inside, low = 0.0, float("inf")
-        for j in range(i, n):
-            if j > i and not same(keys[i], keys[j]):
-                inside += misfit * weights[j]
-            if inside + penalty > low:
-                break
-            cost = inside + penalty + best[j + 1]
-            if cost <= low:
-                low, to[i] = cost, j
-        best[i] = low
-    out, i = [], 0
-    while i < n:
-        out.append((i, to[i]))
-        i = to[i] + 1
-    return out
-
-
-def runs(gemini: DataFrame, texts: bool = True) -> DataFrame:
+    if first == other:
+        return 0.0
+    size = max(len(first), len(other))
+    if same(first, other):
+        return 1.0 / (size + 1)
+    most = int(limit * size)
+    if most < 2 or [c for c in first if c.isdigit()] != [c for c in other if c.isdigit()]:
+        return float("inf")
+    apart = letters_apart(first, other, most)
+    return apart / size if apart <= most else float("inf")
+
+
+class Segmentation:
+    """Optimal segmentation of a sequence as it comes: least sum of within-run dissimilarity and boundary penalties.
+
+    The dissimilarity of a run is the sum over its events of what they differ from its first. ``cost[j]`` is the least cost of the
+    events up to j. Starts of the run that j may belong to stay open while none of their events is infinitely unlike them; of two
+    starts with one text the dearer is pruned, as all that follows costs both the same. Where no run can go over a place, what lies
+    before is settled and leaves, so a sequence of any length holds no more than the events that runs may still bind. Of equal costs
+    the later start is taken, which makes the earlier runs longer.
+    """
+
+    def __init__(self, penalty: float = PENALTY, limit: float = 0.0):
+        self.penalty, self.limit, self.at = penalty, limit, 0
+        self.open: dict[str, tuple[float, int]] = {}
+        self.base, self.cost, self.start = 0, [0.0], []
+
+    def add(self, text: str) -> list[tuple[int, int]]:
+        """Take the next event; return the runs (first, last place) that it settles."""
+        done = []
+        kept = {}
+        for t, (c, i) in self.open.items():
+            if (d := dissimilarity(t, text, self.limit)) != float("inf"):
+                kept[t] = (c + d, i)
+        if not kept:
+            done, self.base, self.cost, self.start = self.close(), self.at, [0.0], []
+        fresh = self.cost[-1] + self.penalty
+        if text not in kept or kept[text][0] > fresh + 1e-9:
+            kept[text] = (fresh, self.at)
+        self.open = kept
+        least = min(c for c, _ in kept.values())
+        self.cost.append(least)
+        self.start.append(max(i for c, i in kept.values() if c <= least + 1e-9))
+        self.at += 1
+        return done
+
+    def close(self) -> list[tuple[int, int]]:
+        """The runs that are not settled yet."""
+        out, j = [], self.at - 1
+        while j >= self.base and self.start:
+            i = self.start[j - self.base]
+            out.append((i, j))
+            j = i - 1
+        return out[::-1]
+
+
+def segment(texts: list[str], penalty: float = PENALTY, limit: float = 0.0) -> list[tuple[int, int]]:
+    """The runs of a whole sequence as (first, last) places."""
+    s = Segmentation(penalty, limit)
+    return [r for t in texts for r in s.add(t)] + s.close()
+
+
+def runs(gemini: DataFrame, texts: bool = True, penalty: float = PENALTY, limit: float = 0.0) -> DataFrame:
     """``lecture_id, speaker, first_gem_id, last_gem_id, n, start_s, end_s, duration_s, text`` of every run, single events too.
 
     Events are the same if their words are equal apart from case, accents, punctuation, spaces, written times, hesitations
     and sound notes, or one slip of typing apart. Events of sound notes alone are the same if the notes are; events of
     hesitations or nothing are the same. An event with a null text is a run of its own (``n`` 1) and parts its neighbours.
     Events without a known speaker count as one unknown speaker's. Equal neighbours are merged first, in the JVM and across
-    blocks, so a long run reaches the segmentation as one weighted event; only chains of neighbours that might be slips of
-    one another are segmented. ``text`` is the first event's (left out without ``texts``).
+    blocks, so a long run reaches the segmentation as one event; only chains of neighbours that might be in one run are segmented.
+    ``limit`` lets events into a run that differ in a share of letters (see :func:`dissimilarity`), where that costs less than
+    a ``penalty`` a boundary; with 0 only slips are let in, and a penalty of 1 exceeds what any slip costs. ``text`` is the first event's (left out without ``texts``).
     """
     parsed = checkpointed(parse(gemini))
     form = (F.when(~F.col("has_text"), "x").when(F.col("speech"), "w").when(F.col("noted") & ~F.col("hesitant"), "n").otherwise("e"))
@@ -71,8 +127,9 @@ def runs(gemini: DataFrame, texts: bool = True) -> DataFrame:
     lagged = block_lag(events, ["lecture_id"], "blk", [F.col(ORDER)], {"_f": F.col("form"), "_h": F.col("hash"), "_s": F.col("size"), "_w": F.col("who")})
     alike = F.col("_w").eqNullSafe(F.col("who")) & F.col("_f").eqNullSafe(F.col("form"))
     differs = ~(alike & F.col("_h").eqNullSafe(F.col("hash")))
-    # Two spoken events of one run are at most two slips apart, so their lengths differ by two at most.
-    linked = alike & (F.col("form") == "w") & (F.abs(F.col("size") - F.col("_s")) <= 2)
+    # Two spoken events of one run are each a slip, or the limit's share of letters, from its first: so much their lengths may differ.
+    apart = F.greatest(F.lit(2.0), F.lit(2.0 * limit) / (1 - min(limit, 0.9)) * F.greatest("size", "_s"))
+    linked = alike & (F.col("form") == "w") & (F.abs(F.col("size") - F.col("_s")) <= apart)
     marked = block_scan(lagged, ["lecture_id"], "blk", [F.col(ORDER)], sums={
         "node": differs.cast("bigint"), "chain": (differs & ~linked).cast("bigint")})
     nodes = checkpointed(marked.groupBy("lecture_id", "chain", "node").agg(
@@ -84,12 +141,13 @@ def runs(gemini: DataFrame, texts: bool = True) -> DataFrame:
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Chains come whole and in order within a task; one may go over the end of a batch."""
-        held: list = []
+        held, book = deque(), Segmentation(penalty, limit)
 
-        def close() -> list:
+        def told(settled: list[tuple[int, int]]) -> list:
             out = []
-            for a, b in segment(["w:" + r.text for r in held], [r.n for r in held]) if held else []:
-                part, r = held[a:b + 1], held[a]
+            for a, b in settled:
+                part = [held.popleft() for _ in range(b - a + 1)]
+                r = part[0]
                 starts, ends = [x.start_s for x in part if x.start_s == x.start_s], [x.end_s for x in part if x.end_s == x.end_s]
                 out.append((r.lecture_id, r.speaker, r.first_gem_id, part[-1].last_gem_id, sum(x.n for x in part), min(starts, default=None), max(ends, default=None), r.led))
             return out
@@ -98,11 +156,12 @@ def runs(gemini: DataFrame, texts: bool = True) -> DataFrame:
             out = []
             for r in pdf.itertuples(index=False):
                 if held and (held[-1].chain, held[-1].lecture_id) != (r.chain, r.lecture_id):
-                    out += close()
-                    held = []
+                    out += told(book.close())
+                    book = Segmentation(penalty, limit)
+                out += told(book.add(r.text))
                 held.append(r)
             yield pd.DataFrame(out, columns=cols)
-        yield pd.DataFrame(close(), columns=cols)
+        yield pd.DataFrame(told(book.close()), columns=cols)
 
     schema = "lecture_id string, speaker string, first_gem_id bigint, last_gem_id bigint, n bigint, start_s double, end_s double, led boolean"
     # Only spoken events form chains of several nodes; their words are fetched by their first records.
