@@ -109,3 +109,27 @@ def test_sql_functions(spark):
     df = spark.createDataFrame([(1, "Aa. Bb."), (2, None)], "i int, t string")
     df.createOrReplaceTempView("texts_for_split")
     assert [tuple(r) for r in spark.sql("select i, chunk from texts_for_split, lateral split_text(t, 4)").collect()] == [(1, "Aa."), (1, "Bb.")]
+
+
+def test_edit_distance_brute_force():
+    import random
+
+    rng = random.Random(2)
+
+    def slow(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(row[j - 1] + (x != y), row[j] + 1, new[-1] + 1))
+            row = new
+        return row[-1]
+
+    for _ in range(400):
+        a, b = ([rng.choice("abcd") for _ in range(rng.randint(0, 90))] for _ in range(2))
+        assert tx.edit_distance(a, b) == slow(a, b)
+
+
+def test_split_text_lanes():
+    assert split_text("Aa. " + "b" * 4 + " " + "c" * 6 + " dd. Ee. Ff.", 9) == ["Aa.", "bbbb", "cccccc", "dd.", "Ee. Ff."] or split_text("Aa. bbbb cccccc dd. Ee. Ff.", 9) == ["Aa.", "bbbb", "cccccc dd.", "Ee. Ff."]
+    assert split_text("Hi. " + "x" * 9 + " yy. Zz. " + "v" * 12 + ".", 10, repeat=True) == ["Hi.", "x" * 9, "yy.", "Hi. Zz.", "v" * 12 + ".", "Hi. Zz."]

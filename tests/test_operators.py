@@ -275,11 +275,23 @@ def test_models(spark):
             raise x
         return x
 
-    assert models.with_retry(call, base_s=1, sleep=waits.append) == 7 and waits == [1, 2]
-    with pytest.raises(ValueError):
-        models.with_retry(lambda: (_ for _ in ()).throw(ValueError("bad")), attempts=2, sleep=waits.append)
-    with pytest.raises(RuntimeError):
-        models.with_retry(lambda: (_ for _ in ()).throw(RuntimeError("429")), attempts=2, sleep=waits.append)
+    policy = models.Retry(base_s=1)
+    assert models.with_retry(call, policy, sleep=waits.append) == 7 and waits == [1, 2]
+
+    class Busy(Exception):
+        code = 429
+
+    def fail(e):
+        def call():
+            raise e
+        return call
+
+    two = models.Retry(attempts=2, base_s=1)
+    for error, seen in ((ValueError("bad"), ValueError), (Busy(), models.Exhausted), (models.CallTimeout(), models.Exhausted)):
+        waits.clear()
+        with pytest.raises(seen):
+            models.with_retry(fail(error), two, sleep=waits.append)
+        assert waits == [1]
     import time
     with pytest.raises(models.CallTimeout):
         models.with_timeout(lambda: time.sleep(2), 0.05)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate, groupby
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -12,6 +15,9 @@ from voxloom.functions.text import sentences
 from voxloom.operators.windows import running_offset
 
 
+_SENTENCE_GAP = re.compile(r"(?<=[.!?])\s+")
+
+
 def _greedy(pieces, most: int):
     """SQL fold: pieces joined by spaces while they fit (length, space and all, at most ``most``)."""
     zero = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("cur"))
@@ -25,40 +31,39 @@ def _greedy(pieces, most: int):
     return F.aggregate(pieces, zero, step, lambda acc: F.when(acc["cur"] == "", acc["done"]).otherwise(F.array_append(acc["done"], acc["cur"])))
 
 
+def packed(pieces: list[str], most: int) -> list[str]:
+    """Pieces in order, joined by spaces to as few texts of at most ``most`` characters; a longer piece is a text by itself.
+
+    The ends of all pieces are summed once, and each text's last piece is found by binary search in the sums.
+    """
+    ends = list(accumulate((len(p) + 1 for p in pieces), initial=0))
+    out, i = [], 0
+    while i < len(pieces):
+        j = max(i + 1, bisect_right(ends, ends[i] + most + 1) - 1)
+        out.append(" ".join(pieces[i:j]))
+        i = j
+    return out
+
+
 def split_text(text: str, most: int, repeat: bool = False) -> list[str]:
     """Chunks of at most ``most`` characters: whole sentences while they fit, single words of longer ones.
 
-    A single word longer than ``most`` is a chunk of its own. With ``repeat``, what was pending when a long sentence came is
-    put out again behind it, as older consumers expect.
+    A text is a row of lanes, each packed by itself: neighbouring sentences that fit are one lane, each longer sentence is a lane of
+    its words. A single word longer than ``most`` is a chunk of its own. With ``repeat``, the chunk before a long sentence is put out
+    again behind it, in front of what follows, as older consumers expect.
     """
-    import re
-
-    done, cur = [], ""
-    for s in re.split(r"(?<=[.!?])\s+", text):
-        if len(cur) + len(s) + 1 <= most:
-            cur = f"{cur} {s}" if cur else s
-            continue
-        if cur.strip():
-            done.append(cur.strip())
-        if len(s) <= most:
-            cur = s
-            continue
-        kept, cur = cur, ""
-        line = ""
-        for w in s.split():
-            if len(line) + len(w) + 1 <= most:
-                line = f"{line} {w}" if line else w
-            else:
-                if line:
-                    done.append(line)
-                line = w
-        if line:
-            done.append(line)
-        if repeat:
-            cur = kept
-    if cur.strip():
-        done.append(cur.strip())
-    return done
+    sents = [x for x in _SENTENCE_GAP.split(text) if x.strip()]
+    lanes = groupby(enumerate(sents), key=lambda x: x[0] if len(x[1]) > most else -1)
+    out, before, carried = [], [], []
+    for at, lane in lanes:
+        pieces = [s for _, s in lane]
+        if at < 0:
+            out += packed(carried + pieces, most)
+            before, carried = out[-1:], []
+        else:
+            out += carried + packed(pieces[0].split(), most)
+            carried = before if repeat else []
+    return [c for c in (x.strip() for x in out + carried) if c]
 
 
 def chunked(df: DataFrame, text: str, most: int, repeat: bool = False) -> DataFrame:
