@@ -562,8 +562,7 @@ def stream_windows(spark, sf):
     src = table(spark, sf, "events")
     stream = ship(spark).readStream.schema(src.schema).option("pathGlobFilter", "events.parquet").option("recursiveFileLookup", "true").parquet(sf)
     out = streams.window_counts(stream.withColumn("ts", F.col("ts").cast("timestamp")), "ts", ["event_type"], "1 hour")
-    import uuid
-    got = streams.run_to_table(out, f"stream_windows_{uuid.uuid4().hex[:8]}", "complete")
+    got = streams.run_to_table(out, "complete")
     return got.select(F.unix_timestamp("from_ts").alias("hour"), "event_type", "n", F.round("total", 2).alias("total"))
 
 

@@ -15,14 +15,19 @@ def block_json(blocks: DataFrame, key: str = "lecture_id", order: tuple[str, ...
     return blocks.groupBy(key).agg(F.to_json(F.transform(rows, lambda r: F.create_map(r["speaker"], r["b"]))).alias("doc"))
 
 
+def by_key(df: DataFrame, key: str) -> DataFrame:
+    """Rows of a key brought together, so that a folder gets one file and not one a task; Spark splits what is too large for one."""
+    return df.hint("rebalance", F.col(key))
+
+
 def write_json_lines(df: DataFrame, path: str, key: str = "lecture_id") -> None:
     """JSON lines, a folder a recording; UTF-8 as it is."""
-    df.write.mode("overwrite").partitionBy(key).json(path)
+    by_key(df, key).write.mode("overwrite").partitionBy(key).json(path)
 
 
 def write_documents(docs: DataFrame, path: str, key: str = "lecture_id") -> None:
     """One text file's content a row (``doc``), a folder a recording."""
-    docs.select(key, F.col("doc").alias("value")).write.mode("overwrite").partitionBy(key).text(path)
+    by_key(docs.select(key, F.col("doc").alias("value")), key).write.mode("overwrite").partitionBy(key).text(path)
 
 
 def turn_lines(turns: DataFrame) -> DataFrame:

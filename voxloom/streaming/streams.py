@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
+
+from voxloom.session import new_table
 
 
 def incremental(spark: SparkSession, source: str, schema: str, sink: Callable[[DataFrame, int], None], checkpoint: str, fmt: str = "parquet") -> int:
@@ -37,8 +40,22 @@ def sessions(events: DataFrame, ts: str, by: list[str], gap: str, late: str = "1
             .select(F.col("w.start").alias("from_ts"), F.col("w.end").alias("to_ts"), *by, "n"))
 
 
-def run_to_table(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Drive a stream over what is there now into an in-memory table and return it (tests and small results)."""
-    query = stream.writeStream.outputMode(mode).format("memory").queryName(name).trigger(availableNow=True).start()
+def run_to_table(stream: DataFrame, mode: str = "append") -> DataFrame:
+    """Drive a stream over what is there now into a table of the shared folder and return it.
+
+    Batches are written by the executors under their number, so a batch that is done again replaces itself; in ``complete`` mode
+    the last one is the result.
+    """
+    spark = stream.sparkSession
+    out = new_table(spark)
+    spark.createDataFrame([], stream.schema).write.parquet(f"{out}/rows/batch=-1")
+
+    def each(df: DataFrame, epoch: int) -> None:
+        df.write.mode("overwrite").parquet(f"{out}/rows/batch={epoch}")
+
+    query = stream.writeStream.outputMode(mode).foreachBatch(each).option("checkpointLocation", f"{out}/done").trigger(availableNow=True).start()
     query.awaitTermination()
-    return stream.sparkSession.table(name)
+    rows = spark.read.schema(StructType([*stream.schema.fields, StructField("batch", LongType())])).parquet(f"{out}/rows")
+    if mode == "complete":
+        rows = rows.join(F.broadcast(rows.agg(F.max("batch").alias("batch"))), "batch")  # one row
+    return rows.drop("batch")
