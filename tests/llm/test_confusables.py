@@ -41,3 +41,21 @@ def test_pairs(spark):
     assert {r.doc_id: r.changed for r in c.canonical_texts(df).collect()}[4] is True
     e = df.limit(0)
     assert c.look_alike_pairs(e).count() == 0 and c.look_alike_classes(e).count() == 0
+
+
+def test_what_shows_stays():
+    assert c.canonical("\u0600" + "12") == "\u0600" + "12" and c.canonical("\U0001F469\u200d\U0001F467") == "\U0001F469\u200d\U0001F467" != c.canonical("\U0001F469\U0001F467")
+    assert c.canonical("\U0001F469\u200d") == "\U0001F469" and c.canonical("a\u200db\u200cc") == "abc" and c.canonical("\u0645\u06cc\u200c\u062e") == "\u0645\u06cc\u200c\u062e"
+
+
+def test_cleaned_keeps_scripts():
+    bg = "Съборът на реката беше в София, сок и хор."
+    assert c.cleaned(bg) == bg and c.canonical(bg) != bg
+    assert c.cleaned(bg.replace("р", "p").replace("о", "o")).split()[:3] == bg.split()[:3]
+    assert c.cleaned("the gаrden сaу") == "the garden cay"
+    assert c.cleaned("ｆｕｌｌ caf\u00ade\u0301") == "full café" and c.cleaned(None) is None
+
+
+def test_canonical_order_and_longest_match():
+    assert c.canonical("e\u0302\u0323") == c.canonical("e\u0323\u0302") == "\u1ec7" and c.canonical("\u1112\u1161\u11ab") == "\ud55c"
+    assert c.canonical("\u0435\u0308") == "ë" and c.canonical("q\u0301\u0301") == "q\u0301\u0301"

@@ -1,9 +1,9 @@
 """Problem 10: one consistent form for texts that look the same.
 
-A mapping from grapheme clusters to their plain form is compiled once from rules (Unicode decompositions for widths and
-joined letters, categories for spaces and invisible characters) and a short table of look-alike letters, checked for
-conflicts, and applied in one pass by longest match: a cluster is a base character with every mark and invisible character
-that follows it. Runs of plain ASCII are skipped in one step.
+A transducer is compiled once from rules (Unicode decompositions for widths and joined letters, categories for spaces, the list of
+characters that don't show) and a short table of look-alike letters, and checked for conflicts: a table of single characters, and a
+trie that puts a base and its marks together, the longest way first. It runs over the grapheme clusters of a text in one pass:
+single characters by the table, clusters with marks by the trie.
 """
 
 from __future__ import annotations
@@ -40,9 +40,17 @@ LINES = {"\r\n": "\n", "\r": "\n", "\u0085": "\n", "\u2028": "\n", "\u2029": "\n
 _TAGS = ("<wide>", "<narrow>", "<noBreak>", "<font>")
 
 
+# Code points that Unicode tells programs not to show (default ignorable), as ranges.
+HIDDEN = ((0xAD, 0xAD), (0x34F, 0x34F), (0x61C, 0x61C), (0x115F, 0x1160), (0x17B4, 0x17B5), (0x180B, 0x180F), (0x200B, 0x200F), (0x202A, 0x202E), (0x2060, 0x206F), (0x3164, 0x3164),
+          (0xFE00, 0xFE0F), (0xFEFF, 0xFEFF), (0xFFA0, 0xFFA0), (0xFFF0, 0xFFF8), (0x1BCA0, 0x1BCA3), (0x1D173, 0x1D17A), (0xE0000, 0xE0FFF))
+#: Scripts whose letters change their shape at a joiner: Arabic to Thaana and N'Ko, the Indic ones, Mongolian.
+JOINING = "\u0600-\u07ff\u0840-\u08ff\u0900-\u0dff\u1000-\u109f\u1780-\u17ff\u1800-\u18af\ufb50-\ufdff\ufe70-\ufefc"
+JOINERS = "\u200c\u200d"
+
+
 def _invisible(c: str) -> bool:
     o = ord(c)
-    return unicodedata.category(c) == "Cf" or o in (0x034F, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x180B, 0x180C, 0x180D, 0x3164, 0xFFA0) or 0xFE00 <= o <= 0xFE0F or 0xE0100 <= o <= 0xE01EF
+    return any(a <= o <= b for a, b in HIDDEN)
 
 
 def _expand(c: str) -> str:
@@ -90,61 +98,123 @@ def singles() -> dict[str, str]:
 
 
 @lru_cache(maxsize=1)
-def _matcher() -> re.Pattern:
-    """Longest match: line ends, a character with its marks and invisible followers, or one character beyond ASCII.
+def transducer() -> tuple[dict[int, str], dict, re.Pattern, re.Pattern]:
+    """What is compiled once: the table of single characters, the trie of compositions, and what finds clusters and joiners.
 
-    Followers are marks, invisible characters, and whatever a canonical composition takes as its second part.
+    The trie leads from a base and marks in canonical order to the one character that stands for them; the longest way through it is
+    taken. Joiners are not in the table: they go unless they stand between emoji, or letters of a script that they shape.
     """
-    second = {0x1161 + i for i in range(21)} | {0x11A8 + i for i in range(27)}
+    table = {ord(c): to for c, to in singles().items() if c not in JOINERS and len(c) == 1}
+    trie: dict = {}
+    marks, second = [], {0x1161 + i for i in range(21)} | {0x11A8 + i for i in range(27)}
     for o in range(sys.maxunicode + 1):
-        parts = unicodedata.decomposition(chr(o)).split() if not 0xD800 <= o <= 0xDFFF else []
+        if 0xD800 <= o <= 0xDFFF or 0xAC00 <= o <= 0xD7A3:
+            continue
+        c = chr(o)
+        full = unicodedata.normalize("NFD", c)
+        if full != c and unicodedata.normalize("NFC", full) == c:
+            node = trie
+            for x in full:
+                node = node.setdefault(x, {})
+            node[""] = c
+        parts = unicodedata.decomposition(c).split()
         if len(parts) == 2 and parts[0][0] != "<":
             second.add(int(parts[1], 16))
-    follow, start = [], None
-    for o in range(0x80, sys.maxunicode + 2):
-        yes = o <= sys.maxunicode and not 0xD800 <= o <= 0xDFFF and (o in second or unicodedata.category(chr(o)) in ("Mn", "Me") or _invisible(chr(o)))
-        if yes and start is None:
-            start = o
-        elif not yes and start is not None:
-            follow.append(f"\\U{start:08x}-\\U{o - 1:08x}")
-            start = None
-    return re.compile(rf"\r\n?|\t|[^\r\n\t][{''.join(follow)}]+|[^\x00-\x7f]")
-
-
-_MEMO: dict[str, str] = {}
-
-
+    for o in range(0x80, sys.maxunicode + 1):
+        if not 0xD800 <= o <= 0xDFFF and (o in second or unicodedata.category(chr(o)) in ("Mn", "Me")) and not _invisible(chr(o)):
+            if marks and marks[-1][1] == o - 1:
+                marks[-1][1] = o
+            else:
+                marks.append([o, o])
+    follow = "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in marks)
+    emoji = "\u2190-\u2bff\u3030\u303d\u3297\u3299\U0001f000-\U0001faff"
+    shown = rf"(?<=[{JOINING}])[{JOINERS}](?=[{JOINING}])|(?<=[{emoji}])\u200d(?=[{emoji}])"
+    return table, trie, re.compile(rf"[^{follow}]?[{follow}]+", re.S), re.compile(rf"({shown})|[{JOINERS}]")
+
+
+@lru_cache(maxsize=200_000)
 def _cluster(cluster: str) -> str:
-    """Plain form of one cluster: invisible characters go, marks are put on the plain base, and the whole is composed."""
-    one = singles()
-    if len(cluster) == 1 or cluster in one:
-        base = one.get(cluster, cluster)
-        if base != cluster or cluster.isascii():
-            return base
-    seen = [c for c in cluster if not _invisible(c)]
-    text = unicodedata.normalize("NFD", "".join(_expand(c) for c in seen))
-    text = "".join(one.get(c, c) for c in text)
-    return "".join(one.get(c, c) for c in unicodedata.normalize("NFC", text))
-
-
-def _apply(m: re.Match) -> str:
-    c = m[0]
-    got = _MEMO.get(c)
-    if got is None:
-        if len(_MEMO) > 200_000:
-            _MEMO.clear()
-        got = _MEMO[c] = _cluster(c)
-    return got
+    """A base with its marks in canonical order, put together by the longest way through the trie."""
+    table, trie, _, _ = transducer()
+    seq = list("".join(LOOK_ALIKES.get(c, c) for c in unicodedata.normalize("NFD", cluster)))
+    if any("\u1100" <= c <= "\u11ff" for c in seq):  # syllables are put together by a rule of arithmetic
+        return unicodedata.normalize("NFC", "".join(seq))
+    out, i = [], 0
+    while i < len(seq):
+        node, best, j = trie, (i + 1, seq[i]), i
+        while j < len(seq) and seq[j] in node:
+            node = node[seq[j]]
+            j += 1
+            if "" in node:
+                best = (j, node[""])
+        i = best[0]
+        out.append(best[1])
+    return "".join(out).translate(table)
 
 
 def canonical(text: str | None) -> str | None:
-    """The one form of a text: null stays null, ASCII texts without tabs and carriage returns stay as they are.
+    """The one form of a text for comparing: null stays null, ASCII texts without tabs and carriage returns stay as they are.
 
-    Case, accents, digits, marks and line breaks are kept; applying it again changes nothing.
+    Case, accents, digits, marks and line breaks are kept; applying it again changes nothing. Look-alike letters become Latin ones
+    wherever they stand, so the form is a key, not a text to read (see :func:`cleaned`).
     """
     if text is None or text.isascii() and "\t" not in text and "\r" not in text:
         return text
-    return _matcher().sub(_apply, text)
+    table, _, clusters, joiners = transducer()
+    out = (text.replace("\r\n", "\n") if "\r" in text else text).translate(table)
+    if "\u200c" in out or "\u200d" in out:
+        out = joiners.sub(lambda m: m[1] or "", out)
+    return clusters.sub(lambda m: _cluster(m[0]), out) if clusters.search(out) else out
+
+
+@lru_cache(maxsize=1)
+def _scripts() -> tuple[dict[int, str], dict[str, dict[int, str]], dict[str, str], re.Pattern]:
+    """The table without look-alike letters, for each other script the way back from Latin letters, scripts of letters, and words."""
+    one = singles()
+    letters = {c: to for c, to in LOOK_ALIKES.items() if c.isalpha() and unicodedata.category(c) != "Lm"}
+    kept = {}
+    for c, to in one.items():
+        if c in JOINERS or c in letters or len(c) > 1:
+            continue
+        own = unicodedata.normalize("NFC", _expand(c))
+        kept[ord(c)] = own if any(x in letters for x in unicodedata.normalize("NFD", own)) else to
+    back: dict[str, dict[int, str]] = {}
+    for c, to in letters.items():
+        if _script(c) != "LATIN":
+            back.setdefault(_script(c), {}).setdefault(ord(to), c)
+    return kept, back, letters, re.compile(r"[^\W\d_]+(?:[\u0300-\u036f]+[^\W\d_]*)*")
+
+
+@lru_cache(maxsize=50_000)
+def _script(c: str) -> str:
+    name = unicodedata.name(c, "").split(" ")[0]
+    return name if name in ("LATIN", "CYRILLIC", "GREEK", "ARMENIAN") else ""
+
+
+@lru_cache(maxsize=200_000)
+def _one_script(word: str) -> str:
+    """A word of mixed scripts in the one that its letters without a double belong to, else in Latin; other words as they are."""
+    _, back, letters, _ = _scripts()
+    plain = unicodedata.normalize("NFD", word)
+    used = {s for c in plain if (s := _script(c))}
+    if len(used) < 2:
+        return word
+    sure = {s for c in plain if (s := _script(c)) and c not in letters and not any(ord(c) in back.get(o, ()) for o in used - {"LATIN"})}
+    to = next((s for s in ("CYRILLIC", "GREEK", "ARMENIAN") if s in sure), None) if "LATIN" not in sure else "LATIN"
+    mapped = plain.translate(back[to]) if to in back else "".join(letters.get(c, c) for c in plain)
+    return unicodedata.normalize("NFC", mapped)
+
+
+def cleaned(text: str | None) -> str | None:
+    """A text to read: as :func:`canonical`, but look-alike letters change only in words that mix scripts."""
+    if text is None or text.isascii() and "\t" not in text and "\r" not in text:
+        return text
+    table, _, _, words = _scripts()
+    joiners = transducer()[3]
+    out = (text.replace("\r\n", "\n") if "\r" in text else text).translate(table)
+    if "\u200c" in out or "\u200d" in out:
+        out = joiners.sub(lambda m: m[1] or "", out)
+    return words.sub(lambda m: m[0] if m[0].isascii() else _one_script(m[0]), unicodedata.normalize("NFC", out))
 
 
 def _hash(text: str) -> str:
@@ -152,13 +222,15 @@ def _hash(text: str) -> str:
 
 
 def canonical_texts(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
-    """``ident, text`` (canonical) and ``changed``; whole texts, one row a row with an id."""
+    """``ident, text`` (cleaned, to be read), ``form`` (equal for texts that look the same) and ``changed`` (is the text); whole texts,
+    one row a row with an id."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            new = [canonical(t if isinstance(t, str) else None) for t in pdf["_t"]]
-            yield pd.DataFrame({ident: pdf[ident], "text": new, "changed": [isinstance(a, str) and a != b for a, b in zip(pdf["_t"], new, strict=True)]})
+            old = [t if isinstance(t, str) else None for t in pdf["_t"]]
+            new = [cleaned(t) for t in old]
+            yield pd.DataFrame({ident: pdf[ident], "text": new, "form": [canonical(t) for t in old], "changed": [a != b for a, b in zip(old, new, strict=True)]})
 
-    return docs.select(F.col(ident).cast("bigint").alias(ident), F.col(text).alias("_t")).filter(F.col(ident).isNotNull()).mapInPandas(run, f"{ident} bigint, text string, changed boolean")
+    return docs.select(F.col(ident).cast("bigint").alias(ident), F.col(text).alias("_t")).filter(F.col(ident).isNotNull()).mapInPandas(run, f"{ident} bigint, text string, form string, changed boolean")
 
 
 def fingerprints(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
@@ -181,14 +253,13 @@ def look_alike_pairs(docs: DataFrame, ident: str = "doc_id", text: str = "text")
     copies is spread over salted tasks where it meets the classes it belongs with.
     """
     prints = fingerprints(docs, ident, text)
-    classes = prints.groupBy("form", "raw").agg(F.count("*").alias("n"))
-    several = classes.groupBy("form").agg(F.count("*").alias("texts")).filter("texts > 1")
-    mixed = classes.join(several, "form").select("form", "raw")
-    pairs = mixed.alias("x").join(mixed.alias("y"), "form").filter("x.raw < y.raw").select(F.col("x.raw").alias("ra"), F.col("y.raw").alias("rb"))
-    # Members of classes that have a partner: few next to all documents.
-    members = prints.join(mixed.select("raw").distinct(), "raw", "left_semi").select("raw", ident)
-    one = salted_side(pairs, members.withColumnsRenamed({"raw": "ra", ident: "a"}), "ra", "a")
-    both = salted_side(one, members.withColumnsRenamed({"raw": "rb", ident: "b"}), "rb", "b")
+    # One pass tells the forms of several texts; few documents have one.
+    mixed = prints.groupBy("form").agg(F.min("raw").alias("_a"), F.max("raw").alias("_b")).filter("_a <> _b").select("form")
+    members = checkpointed(salted_join(prints, mixed, ["form"], F.col(ident), how="left_semi").select("form", "raw", ident))
+    classes = members.select("form", "raw").distinct()
+    pairs = salted_side(classes.withColumnRenamed("raw", "ra"), classes.withColumnRenamed("raw", "rb"), "form", "rb").filter("ra < rb")
+    one = salted_side(pairs, members.select(F.col("raw").alias("ra"), F.col(ident).alias("a")), "ra", "a")
+    both = salted_side(one, members.select(F.col("raw").alias("rb"), F.col(ident).alias("b")), "rb", "b")
     return both.select(F.least("a", "b").alias("doc_id_a"), F.greatest("a", "b").alias("doc_id_b"))
 
 
