@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxloom.llm.speech import HESITATION, lead_label, plain, strip_marks
+from voxloom.operators.scan import salted_join
 from voxloom.session import checkpointed
 
 #: A length is a spike if so many open texts have it, so many times what the lengths around it have.
@@ -110,11 +111,29 @@ def grams(words: list[tuple[str, bool]], at: int) -> list[str]:
     return [" ".join(w for w, _ in words[at - n + 1:at + 1]) for n in (1, 2, 3) if at - n + 1 >= 0]
 
 
-def _endings(records: DataFrame) -> DataFrame:
-    """``gram, source, n, ends``: how often words stand in a source and how often they end a sentence or a whole text.
+def _read(records: DataFrame) -> DataFrame:
+    """Texts read once: how each ends, its last words, and all its words with the places where sentences end."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            how, last, said, marks = [], [], [], []
+            for t in pdf["text"]:
+                h, words = ending(t)
+                how.append(h)
+                last.append(grams(words, len(words) - 1) if h in ("open", "broken", "comma") and words else [])
+                said.append(" ".join(w for w, _ in words))
+                marks.append("".join("01"[e] for _, e in words))
+            yield pdf.drop(columns="text").assign(how=how, n_words=[len(m) for m in marks], last=last, said=said, marks=marks)
+
+    return records.select("id", "source", "text", "pace", "len_c", "len_b", "spike", "closed").mapInPandas(
+        run, "id bigint, source string, pace double, len_c int, len_b int, spike boolean, closed boolean, how string, n_words int, last array<string>, said string, marks string")
+
+
+def _endings(read: DataFrame, asked: DataFrame) -> DataFrame:
+    """``gram, source, n, ends``: how often the asked words stand in a source and how often they end a sentence or a whole text.
 
     The end of an open text counts as an end for the sake of remarks that are never closed; texts of spike lengths and
-    broken ones don't. Counted in each task first, so the shuffle carries distinct word groups.
+    broken ones don't. Counted in each task first, and what nobody asks for is left out there where Spark finds the asked words small
+    enough to send round, so the shuffle carries distinct asked word groups.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: dict[str, Counter] = defaultdict(Counter)
@@ -128,9 +147,8 @@ def _endings(records: DataFrame) -> DataFrame:
             ended.clear()
 
         for pdf in batches:
-            for text, source, spike in zip(pdf["text"], pdf["source"], pdf["spike"], strict=True):
-                how, found = ending(text)
-                words, ends = [w for w, _ in found], [e for _, e in found]
+            for source, spike, how, said, marks in zip(pdf["source"], pdf["spike"], pdf["how"], pdf["said"], pdf["marks"], strict=True):
+                words, ends = said.split(" ") if said else [], [m == "1" for m in marks]
                 if words and not ends[-1]:
                     if spike or how in ("broken", "trail", "comma"):
                         del words[-1], ends[-1]
@@ -145,8 +163,8 @@ def _endings(records: DataFrame) -> DataFrame:
                 yield from out()
         yield from out()
 
-    return (records.select("text", "source", "spike").mapInPandas(run, "gram string, source string, n bigint, ends bigint")
-            .groupBy("gram", "source").agg(F.sum("n").alias("n"), F.sum("ends").alias("ends")))
+    counted = read.select("source", "spike", "how", "said", "marks").mapInPandas(run, "gram string, source string, n bigint, ends bigint")
+    return counted.join(asked, "gram", "left_semi").groupBy("gram", "source").agg(F.sum("n").alias("n"), F.sum("ends").alias("ends"))
 
 
 def truncated(df: DataFrame, ident: str = "gem_id", source: str = "route", text: str = "text", start: str | None = "start_s", end: str | None = "end_s") -> DataFrame:
@@ -169,27 +187,16 @@ def truncated(df: DataFrame, ident: str = "gem_id", source: str = "route", text:
     # One row a source with its few limits.
     recs = base.join(limits, "source", "left").withColumn("spike", at & F.col("is_open")).drop("at_c", "at_b")
     texts = recs.filter("text is not null and text <> ''")
-    told = _endings(texts)
-    w = Window.partitionBy("gram")
-    others = told.select("gram", "source", (F.sum("n").over(w) - F.col("n")).alias("n"), (F.sum("ends").over(w) - F.col("ends")).alias("ends"))
-    slow = texts.filter("closed and pace is not null").agg(F.percentile_approx("pace", 0.01, 1000).alias("slow"))
-
-    def classify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            how, last, many = [], [], []
-            for t in pdf["text"]:
-                h, words = ending(t)
-                how.append(h)
-                many.append(len(words))
-                last.append(grams(words, len(words) - 1) if h in ("open", "broken", "comma") and words else [])
-            yield pdf.drop(columns="text").assign(how=how, n_words=many, last=last)
-
-    judged = checkpointed(texts.select("id", "source", "text", "pace", "len_c", "len_b", "spike").mapInPandas(
-        classify, "id bigint, source string, pace double, len_c int, len_b int, spike boolean, how string, n_words int, last array<string>"))
+    judged = checkpointed(_read(texts))
+    slow = judged.filter("closed and pace is not null").agg(F.percentile_approx("pace", 0.01, 1000).alias("slow"))
     asked = judged.filter("how = 'open' and not spike").select("id", "source", F.posexplode("last").alias("k", "gram"))
-    known = (asked.join(others, ["gram", "source"]).filter(F.col("n") >= LEAST_SEEN).groupBy("id")
+    told = _endings(judged, checkpointed(asked.select("gram").distinct()))
+    w = Window.partitionBy("gram")
+    others = told.select("gram", "source", (F.sum("n").over(w) - F.col("n")).alias("n"), (F.sum("ends").over(w) - F.col("ends")).alias("ends")).filter(F.col("n") >= LEAST_SEEN)
+    # A common last word may end a third of all texts.
+    known = (salted_join(asked, others, ["gram", "source"], F.col("id"), how="inner").groupBy("id")
              .agg(F.max_by(F.struct(F.col("k"), (F.col("ends") / F.col("n")).alias("p")), "k").alias("best"), F.max(F.when(F.col("k") == 0, F.col("n"))).alias("n_last")))
-    full = judged.join(known, "id", "left").crossJoin(F.broadcast(slow))
+    full = judged.drop("said", "marks").join(known, "id", "left").crossJoin(F.broadcast(slow))
     # How many of its last words (up to three) others know: fewer than the text has means that they never met together.
     p, depth = F.col("best.p"), F.coalesce(F.col("best.k") + 1, F.lit(0))
     whole = F.size("last") == depth
