@@ -101,3 +101,33 @@ def test_shortages_go_to_siblings_before_ancestors():
     assert [round(c.budget, 6) for c in a.children] == [10, 40] and round(b.budget, 6) == 50
     assert mixing.share_out(root, 400) == 0 and round(a.budget, 6) == 110 and round(b.budget, 6) == 290
     assert round(mixing.share_out(root, 2000), 6) == 890
+
+
+def test_domains_epochs_and_totals():
+    import pandas as pd
+
+    pdf = pd.DataFrame({"mix_name": "m", "doc_source": ["lecture_transcript", "qa_session", "letter", "letter"], "lang": ["en", "en", "en", "de"], "tokens": [100, 1000, 500, 10], "target_share": [0.4, 0.2, 0.4, 0.4], "max_repeats": [1, 1, 1, 1]})
+    got = {(r.doc_source, r.lang): r.budget for r in mixing.budgets(pdf, total_tokens=500).itertuples()}
+    # The lectures lack half of their 200; that goes to the questions, the other part of their domain, and not to the letters.
+    assert got["lecture_transcript", "en"] == 100 and round(got["qa_session", "en"]) == 200 and round(got["letter", "en"] + got["letter", "de"]) == 200
+
+
+def test_epochs_have_their_own_order(spark):
+    data, df = docs(spark, 3000)
+    t = spark.createDataFrame([("m", "a", 1.0, 5), ("n", "a", 1.0, 5)], "mix_name string, doc_source string, target_share double, max_repeats int")
+    half, more = (mixing.mix(df, t, total_share=s).toPandas() for s in (0.5, 1.5))
+    first = set(half[half.mix_name == "m"].doc_id)
+    second = set(more[(more.mix_name == "m") & (more.repeats == 2)].doc_id)
+    other = set(half[half.mix_name == "n"].doc_id)
+    assert first and second and first != second and first != other
+
+
+def test_limits_hold_when_they_bind():
+    rng = np.random.default_rng(4)
+    sizes = rng.integers(1, 100, 400)
+    for rule in ("norm", "dot"):
+        for weights in ((1.0, 1.0, 1.0), (1.0, 0.0, 5.0)):
+            got = packing.best_fit(sizes, 100, 3, 4_000.0, rule, weights)
+            for g in set(got):
+                mine = sizes[got == g]
+                assert mine.sum() <= 100 and len(mine) <= 3 and ((mine ** 2).sum() <= 4_000 or len(mine) == 1)

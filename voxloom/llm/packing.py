@@ -16,19 +16,20 @@ from voxloom.session import checkpointed
 SHARD_ITEMS = 20_000
 
 
-def best_fit(sizes: np.ndarray, capacity: int, max_items: int, max_cost: float, rule: str = "norm") -> np.ndarray:
+def best_fit(sizes: np.ndarray, capacity: int, max_items: int, max_cost: float, rule: str = "norm", weights: tuple[float, float, float] = (1.0, 1.0, 1.0)) -> np.ndarray:
     """Container number of each item (sizes at most ``capacity``), largest items first.
 
     Every container has three residuals: tokens, items and attention cost (squares of item lengths). An item goes to an
     open container where it fits in all three: the one with the least norm of the residuals left after it (``norm``), or with
-    the largest dot product of the item and what is taken (``dot``), both scaled by the capacities. Full containers are
-    closed. An item whose cost alone is over the limit opens a container that then takes no other.
+    the largest dot product of the item and what is taken (``dot``), both scaled by the capacities and weighted by ``weights``. Full
+    containers are closed. An item whose cost alone is over the limit opens a container that then takes no other.
     """
     n = len(sizes)
     order = np.argsort(-sizes, kind="stable")
     cap = np.array([capacity, max_items, max_cost], dtype=float)
     left = np.empty((3, max(16, n)), dtype=float)
     names = np.empty(max(16, n), dtype=np.int64)
+    weigh = np.array(weights, dtype=float)[:, None]
     used, made = 0, 0
     out = np.empty(n, dtype=np.int64)
     smallest = int(sizes.min()) if n else 0
@@ -41,10 +42,10 @@ def best_fit(sizes: np.ndarray, capacity: int, max_items: int, max_cost: float,
             if len(fits):
                 rest = left[:, fits] / cap[:, None]
                 if rule == "norm":
-                    score = -np.square(rest - (need / cap)[:, None]).sum(axis=0)
+                    score = -(weigh * np.square(rest - (need / cap)[:, None])).sum(axis=0)
                 else:
                     # Tight containers first: the item's weight against what is taken, so the least room left wins.
-                    score = ((need / cap)[:, None] * (1.0 - rest)).sum(axis=0)
+                    score = (weigh * (need / cap)[:, None] * (1.0 - rest)).sum(axis=0)
                 at = int(fits[int(np.argmax(score))])
         if at < 0:
             at = used
@@ -59,7 +60,7 @@ def best_fit(sizes: np.ndarray, capacity: int, max_items: int, max_cost: float,
 
 
 def pack(docs: DataFrame, plans: DataFrame, tokenizer: str = TOKENIZER, max_items: int = 4096, cost_share: float = 1.0, rule: str = "norm",
-         shard_items: int = SHARD_ITEMS) -> DataFrame:
+         weights: tuple[float, float, float] = (1.0, 1.0, 1.0), shard_items: int = SHARD_ITEMS) -> DataFrame:
     """``plan_name, container, doc_id, part, token_from, n_tokens, split``: where every document goes under every plan.
 
     A document that fits a container is never split. A larger one is cut into full containers of its own (``part`` 0, 1,
@@ -88,7 +89,7 @@ def pack(docs: DataFrame, plans: DataFrame, tokenizer: str = TOKENIZER, max_item
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("doc_id")
         cap, sizes = int(pdf["cap"].iloc[0]), pdf["rest"].to_numpy(dtype=np.int64)
-        got = best_fit(sizes, cap, max_items, cost_share * cap * cap, rule)
+        got = best_fit(sizes, cap, max_items, cost_share * cap * cap, rule, weights)
         shard = pdf["shard"].iloc[0]
         return pd.DataFrame({"plan_name": pdf["plan_name"], "container": [f"s-{shard}-{g}" for g in got], "doc_id": pdf["doc_id"], "part": pdf["full"].astype("int32"),
                              "token_from": pdf["full"] * cap, "n_tokens": sizes, "split": pdf["full"] > 0})
@@ -109,3 +110,23 @@ def oversize(packed: DataFrame, plans: DataFrame) -> DataFrame:
     """``doc_id`` of documents that were split under the plan of the largest capacity."""
     largest = plans.filter("plan_name is not null and capacity_tokens > 0").agg(F.max_by("plan_name", F.struct("capacity_tokens", "plan_name")).alias("plan_name"))
     return packed.filter("split").join(F.broadcast(largest), "plan_name").select("doc_id").distinct()
+
+
+def checked(docs: DataFrame, packed: DataFrame, plans: DataFrame, max_items: int, cost_share: float, tokenizer: str = TOKENIZER) -> DataFrame:
+    """One row a plan: how many containers or documents break a limit (0 each), and whether the limits were felt.
+
+    ``over_tokens``, ``over_items`` and ``over_cost`` count containers beyond a limit (one document alone may cost more), ``torn`` documents
+    that fit and were split, ``lost`` documents whose parts don't sum to their tokens. ``felt`` tells whether some container with room for
+    more tokens is at the limit of documents or cost.
+    """
+    caps = plans.select("plan_name", F.col("capacity_tokens").cast("bigint").alias("cap")).filter("plan_name is not null and cap > 0").dropDuplicates(["plan_name"])
+    sized = with_token_counts(docs.select("doc_id", "text").filter("doc_id is not null"), path=tokenizer).dropDuplicates(["doc_id"])
+    rows = checkpointed(packed)
+    boxes = rows.groupBy("plan_name", "container").agg(F.sum("n_tokens").alias("t"), F.count("*").alias("i"), F.sum(F.col("n_tokens") * F.col("n_tokens")).alias("c")).join(caps, "plan_name")
+    room, limit = F.col("cap") - F.col("t"), cost_share * F.col("cap") * F.col("cap")
+    by_box = boxes.groupBy("plan_name").agg(
+        F.count_if(F.col("t") > F.col("cap")).alias("over_tokens"), F.count_if(F.col("i") > max_items).alias("over_items"), F.count_if((F.col("c") > limit) & (F.col("i") > 1)).alias("over_cost"),
+        F.max((F.col("i") == max_items) & (room > F.col("cap") / 10)).alias("items_felt"), F.max((F.col("c") > 0.9 * limit) & (room > F.col("cap") / 10)).alias("cost_felt"))
+    per = rows.groupBy("plan_name", "doc_id").agg(F.sum("n_tokens").alias("t"), F.count("*").alias("parts")).join(sized, "doc_id").join(caps, "plan_name")
+    by_doc = per.groupBy("plan_name").agg(F.count("*").alias("documents"), F.count_if((F.col("parts") > 1) & (F.col("n_tokens") <= F.col("cap"))).alias("torn"), F.count_if(F.col("t") != F.col("n_tokens")).alias("lost"))
+    return by_doc.join(by_box, "plan_name").select("plan_name", "documents", "torn", "lost", "over_tokens", "over_items", "over_cost", (F.col("items_felt") | F.col("cost_felt")).alias("felt"))

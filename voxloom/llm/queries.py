@@ -68,6 +68,17 @@ def p8_fill(spark: SparkSession, sf: str) -> DataFrame:
     return packing.fill(packing.pack(table(spark, sf, "documents"), plans), plans)
 
 
+def p8_limits(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents packed under limits of eight a container and half of the attention cost, and every limit checked."""
+    docs, plans = table(spark, sf, "documents"), table(spark, sf, "pack_plans")
+    return packing.checked(docs, packing.pack(docs, plans, max_items=8, cost_share=0.5), plans, 8, 0.5)
+
+
+def p9_shortage(spark: SparkSession, sf: str) -> DataFrame:
+    """Mixes of one and a half times what their sources hold, so that some fall short, and every promise checked."""
+    return mixing.checked(table(spark, sf, "documents"), table(spark, sf, "mix_targets"), 1.5)
+
+
 def p9_mix(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(spark, sf, "documents"), table(spark, sf, "mix_targets"))
 
@@ -90,10 +101,17 @@ def p10_texts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p2_found, p2_by_route, p3_found, p4_found, p4_turns, p5_found, p5_events, p5_near_events, p8_found, p8_containers, p8_fill, p9_mix, p9_shares,
+    f.__name__: f for f in (p2_found, p2_by_route, p3_found, p4_found, p4_turns, p5_found, p5_events, p5_near_events, p8_found, p8_containers, p8_fill, p8_limits, p9_mix, p9_shares, p9_shortage,
                             p10_found, p10_classes, p10_texts)}
 
 ORACLE: dict[str, str] = {
+    # Packing and mixing themselves are no SQL; what they promise is.
+    "p8_limits": """
+select plan_name, count(distinct doc_id) as documents, 0 as torn, 0 as lost, 0 as over_tokens, 0 as over_items, 0 as over_cost, true as felt
+from pack_plans, documents where text is not null and text <> '' group by 1""",
+    "p9_shortage": """
+select mix_name, count(*) as sources, 0 as over_repeats, 0 as over_room, 0 as off_budget, true as short, true as siblings_first
+from mix_targets where doc_source in (select source from documents where text <> '') group by 1""",
     "p3_found": """
 with s as (select distinct seg_id, lecture_id, cast(round(start_s * 1000) as bigint) as at from whisper where seg_id is not null and lecture_id is not null and start_s is not null),
      t as (select distinct turn_id, lecture_id, cast(round(start_s * 1000) as bigint) as at from turns
