@@ -75,15 +75,16 @@ def singles() -> dict[str, str]:
         if c != to and out.setdefault(c, to) != to:
             raise ValueError(f"{rule}: {c!r} is mapped to {out[c]!r} and {to!r}")
 
+    for a, b in HIDDEN:
+        for o in range(a, b + 1):
+            add(chr(o), "", "invisible")
     for o in range(128, sys.maxunicode + 1):
-        if 0xD800 <= o <= 0xDFFF or 0xAC00 <= o <= 0xD7A3 or 0xE000 <= o <= 0xF8FF or o >= 0xF0000 or 0x20000 <= o <= 0x3FFFF:
-            continue
         c = chr(o)
-        if _invisible(c):
-            add(c, "", "invisible")
-        elif unicodedata.category(c) == "Zs":
+        if c in LINES or out.get(c) == "":
+            continue
+        if unicodedata.category(c) == "Zs":
             add(c, " ", "space")
-        elif c not in LINES:
+        elif c in LOOK_ALIKES or unicodedata.decomposition(c):
             add(c, unicodedata.normalize("NFC", "".join(LOOK_ALIKES.get(x, x) for x in unicodedata.normalize("NFD", _expand(c)))), "form")
     add("\t", " ", "space")
     for c, to in LINES.items():
@@ -98,8 +99,8 @@ def singles() -> dict[str, str]:
 
 
 @lru_cache(maxsize=1)
-def transducer() -> tuple[dict[int, str], dict, re.Pattern, re.Pattern]:
-    """What is compiled once: the table of single characters, the trie of compositions, and what finds clusters and joiners.
+def transducer() -> tuple[dict[int, str], dict, frozenset[str], re.Pattern, re.Pattern]:
+    """What is compiled once: the table of single characters, the trie of compositions, the marks, and what finds marks and joiners.
 
     The trie leads from a base and marks in canonical order to the one character that stands for them; the longest way through it is
     taken. Joiners are not in the table: they go unless they stand between emoji, or letters of a script that they shape.
@@ -111,14 +112,16 @@ def transducer() -> tuple[dict[int, str], dict, re.Pattern, re.Pattern]:
         if 0xD800 <= o <= 0xDFFF or 0xAC00 <= o <= 0xD7A3:
             continue
         c = chr(o)
+        parts = unicodedata.decomposition(c).split()
+        if not parts or parts[0][0] == "<":
+            continue
         full = unicodedata.normalize("NFD", c)
-        if full != c and unicodedata.normalize("NFC", full) == c:
+        if unicodedata.normalize("NFC", full) == c:
             node = trie
             for x in full:
                 node = node.setdefault(x, {})
             node[""] = c
-        parts = unicodedata.decomposition(c).split()
-        if len(parts) == 2 and parts[0][0] != "<":
+        if len(parts) == 2:
             second.add(int(parts[1], 16))
     for o in range(0x80, sys.maxunicode + 1):
         if not 0xD800 <= o <= 0xDFFF and (o in second or unicodedata.category(chr(o)) in ("Mn", "Me")) and not _invisible(chr(o)):
@@ -129,13 +132,13 @@ def transducer() -> tuple[dict[int, str], dict, re.Pattern, re.Pattern]:
     follow = "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in marks)
     emoji = "\u2190-\u2bff\u3030\u303d\u3297\u3299\U0001f000-\U0001faff"
     shown = rf"(?<=[{JOINING}])[{JOINERS}](?=[{JOINING}])|(?<=[{emoji}])\u200d(?=[{emoji}])"
-    return table, trie, re.compile(rf"[^{follow}]?[{follow}]+", re.S), re.compile(rf"({shown})|[{JOINERS}]")
+    return table, trie, frozenset(chr(o) for a, b in marks for o in range(a, b + 1)), re.compile(f"[{follow}]+"), re.compile(rf"({shown})|[{JOINERS}]")
 
 
 @lru_cache(maxsize=200_000)
 def _cluster(cluster: str) -> str:
     """A base with its marks in canonical order, put together by the longest way through the trie."""
-    table, trie, _, _ = transducer()
+    table, trie = transducer()[:2]
     seq = list("".join(LOOK_ALIKES.get(c, c) for c in unicodedata.normalize("NFD", cluster)))
     if any("\u1100" <= c <= "\u11ff" for c in seq):  # syllables are put together by a rule of arithmetic
         return unicodedata.normalize("NFC", "".join(seq))
@@ -160,11 +163,18 @@ def canonical(text: str | None) -> str | None:
     """
     if text is None or text.isascii() and "\t" not in text and "\r" not in text:
         return text
-    table, _, clusters, joiners = transducer()
+    table, _, marks, runs, joiners = transducer()
     out = (text.replace("\r\n", "\n") if "\r" in text else text).translate(table)
     if "\u200c" in out or "\u200d" in out:
         out = joiners.sub(lambda m: m[1] or "", out)
-    return clusters.sub(lambda m: _cluster(m[0]), out) if clusters.search(out) else out
+    if marks.isdisjoint(out):
+        return out
+    done, at = [], 0
+    for m in runs.finditer(out):
+        base = max(at, m.start() - 1)  # marks at the start of a text have none
+        done += (out[at:base], _cluster(out[base:m.end()]))
+        at = m.end()
+    return "".join(done) + out[at:]
 
 
 @lru_cache(maxsize=1)
@@ -210,7 +220,7 @@ def cleaned(text: str | None) -> str | None:
     if text is None or text.isascii() and "\t" not in text and "\r" not in text:
         return text
     table, _, _, words = _scripts()
-    joiners = transducer()[3]
+    joiners = transducer()[4]
     out = (text.replace("\r\n", "\n") if "\r" in text else text).translate(table)
     if "\u200c" in out or "\u200d" in out:
         out = joiners.sub(lambda m: m[1] or "", out)
