@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from voxloom.functions.text import words
 from voxloom.operators.intervals import overlapping
-from voxloom.operators.scan import block_lag, block_scan
+from voxloom.operators.scan import block_scan, near_rows
 from voxloom.operators.windows import neighbours_of_type
-from voxloom.session import checkpointed
 
 SEGMENT, GROUP, BRIDGE = "WHISPER_SEGMENT", "WHISPER_GROUP", "BRIDGE_SEGMENT"
 #: Items of one recording that start within so many milliseconds are numbered in one task.
@@ -58,12 +57,7 @@ def push_bridges(items: DataFrame, key: str = "lecture_id", perfect: float = 9.9
     block each other and scores don't change, one look at the neighbours decides.
     """
     cols = {"t": F.col("type"), "p": F.coalesce(F.col(score), F.lit(0.0)) >= perfect, "g": F.coalesce("gemini_transcript", F.lit(""))}
-    laid = checkpointed(by_position(items))  # each look at a neighbour reads its input twice
-    for n in (1, 2):  # the row before and the one before that; then the same towards the end
-        laid = block_lag(laid, [key], "blk", [F.col("pos")], {f"b{n}_{k}": v if n == 1 else F.col(f"b1_{k}") for k, v in cols.items()})
-    laid = checkpointed(laid.withColumns({"_rev": -F.col("blk"), "_ord": -F.col("pos")}))
-    for n in (1, 2):
-        laid = block_lag(laid, [key], "_rev", [F.col("_ord")], {f"f{n}_{k}": v if n == 1 else F.col(f"f1_{k}") for k, v in cols.items()})
+    laid = near_rows(items, [key], "pos", cols, 2)
 
     def yes(c: Column) -> Column:
         return F.coalesce(c, F.lit(False))
@@ -75,7 +69,7 @@ def push_bridges(items: DataFrame, key: str = "lecture_id", perfect: float = 9.9
     back = yes((F.col("type") == SEGMENT) & ~mine & (F.col("f1_t") == BRIDGE) & (F.col("f2_t") == SEGMENT) & F.col("f2_p") & (F.col("f1_g") != ""))
     text = F.trim(F.concat(F.when(front, F.concat(F.col("b1_g"), F.lit(" "))).otherwise(""), cols["g"], F.when(back, F.concat(F.lit(" "), F.col("f1_g"))).otherwise("")))
     return (laid.withColumn("gemini_transcript", F.when(front | back, text).otherwise(F.col("gemini_transcript"))).filter(~goes)
-            .drop("_rev", "_ord", *[f"{d}{n}_{k}" for d in "bf" for n in (1, 2) for k in cols]))
+            .drop(*[f"{d}{n}_{k}" for d in "bf" for n in (1, 2) for k in cols]))
 
 
 def final_transcript(items: DataFrame, keep_groups: bool = False) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,26 +26,28 @@ def greedy_pairs(truth: list[frozenset], preds: list[frozenset]) -> list[tuple[i
     A prediction is used up by any score above 0. Candidates are found by an inverted index of tokens, so predictions
     without a common token are never looked at.
     """
-    index: dict = {}
+    postings: dict = {}
     for j, p in enumerate(preds):
         for t in p:
-            index.setdefault(t, []).append(j)
-    used, out = set(), []
+            postings.setdefault(t, []).append(j)
+    postings = {t: np.array(js, dtype=np.int64) for t, js in postings.items()}
+    sizes = np.array([max(1, len(p)) for p in preds], dtype=float)
+    free, out, taken = np.ones(len(preds), dtype=bool), [], 0
     for t in truth:
-        common: dict[int, int] = {}
-        for w in t:
-            for j in index.get(w, ()):
-                if j not in used:
-                    common[j] = common.get(j, 0) + 1
-        best, score = -1, 0.0
-        for j in sorted(common):
-            p, r = common[j] / len(preds[j]), common[j] / len(t)
-            s = 2 * p * r / (p + r)
-            if s > score:
-                best, score = j, s
-        if best >= 0:
-            used.add(best)
-        out.append((best, score))
+        hit = [postings[w] for w in t if w in postings]
+        common = np.bincount(np.concatenate(hit), minlength=len(preds)) * free if hit else np.zeros(len(preds))
+        at = np.flatnonzero(common)
+        if not len(at):
+            out.append((-1, 0.0))
+            continue
+        p, r = common[at] / sizes[at], common[at] / len(t)
+        scores = 2 * p * r / (p + r)
+        best = int(np.argmax(scores))
+        out.append((int(at[best]), float(scores[best])))
+        free[at[best]] = False
+        taken += 1
+        if taken * 2 > len(preds) and taken % 256 == 0:  # used ones leave the lists now and then
+            postings = {w: js[free[js]] for w, js in postings.items()}
     return out
 
 

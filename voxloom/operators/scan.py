@@ -69,6 +69,35 @@ def block_last(df: DataFrame, keys: list[str], block: str, order: list[Column],
             .drop("_o", "_v", "_c"))
 
 
+def block_around(df: DataFrame, keys: list[str], block: str, order: list[Column], value: Column) -> DataFrame:
+    """``prev`` and ``next``: the last non-null ``value`` before the row and the first one after it, by one scan of the blocks both ways."""
+    rows = df.withColumns({"_o": F.struct(*order), "_v": value})
+    there = F.when(F.col("_v").isNotNull(), F.col("_o"))
+    ends = rows.groupBy(*keys, block).agg(F.max_by("_v", there).alias("_l"), F.min_by("_v", there).alias("_f"))
+    w = Window.partitionBy(*keys).orderBy(block)
+    carry = ends.select(*keys, block, F.last("_l", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("_b"),
+                        F.first("_f", ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing)).alias("_n"))
+    inside = Window.partitionBy(*keys, block).orderBy("_o")
+    back, ahead = inside.rowsBetween(Window.unboundedPreceding, -1), inside.rowsBetween(1, Window.unboundedFollowing)
+    return (rows.join(carry, [*keys, block])
+            .withColumns({"prev": F.coalesce(F.last("_v", ignorenulls=True).over(back), F.col("_b")), "next": F.coalesce(F.first("_v", ignorenulls=True).over(ahead), F.col("_n"))})
+            .drop("_o", "_v", "_b", "_n"))
+
+
+def near_rows(df: DataFrame, keys: list[str], position: str, cols: dict[str, Column], reach: int, block: int = 10_000) -> DataFrame:
+    """Rows with ``b<n>_<name>`` and ``f<n>_<name>``: ``cols`` of the n-th row before and after, up to ``reach``; null where there is none.
+
+    ``position`` must count the rows of a key without gaps, so a block of positions knows its borders: rows within reach of one are
+    copied over it, and one window over (key, block) sees all neighbours. Rows move once, and nothing is joined.
+    """
+    pos = F.col(position)
+    packed = df.withColumns({"_p": F.struct(*[e.alias(n) for n, e in cols.items()]), "_own": F.floor(pos / block)})
+    spread = packed.withColumn("_blk", F.explode(F.array_distinct(F.array("_own", F.floor((pos - reach) / block), F.floor((pos + reach) / block)))))
+    w = Window.partitionBy(*keys, "_blk").orderBy(position)
+    seen = spread.withColumns({f"_{d}{n}": f("_p", n).over(w) for n in range(1, reach + 1) for d, f in (("b", F.lag), ("f", F.lead))}).filter("_blk = _own")
+    return seen.withColumns({f"{d}{n}_{k}": F.col(f"_{d}{n}.{k}") for n in range(1, reach + 1) for d in "bf" for k in cols}).drop("_p", "_own", "_blk", *[f"_{d}{n}" for n in range(1, reach + 1) for d in "bf"])
+
+
 def salted_join(left: DataFrame, right: DataFrame, keys: list[str], salt: Column, salts: int = 16, how: str = "left") -> DataFrame:
     """Equi join of many rows with a smaller side whose keys are unique, when a few keys hold much of ``left``.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxloom.operators.scan import block_lag, block_last, block_scan
+from voxloom.operators.scan import block_around, block_lag, block_last, block_scan
 
 
 def tumbling(spans: DataFrame, length: str, size_ms: int, least_ms: int) -> DataFrame:
@@ -76,10 +76,7 @@ def fill_headings(paragraphs: DataFrame, keys: list[str], order: str, block: str
 
 def neighbours_of_type(items: DataFrame, keys: list[str], order: str, block: str, wanted: Column, value: Column) -> DataFrame:
     """``items`` with ``prev`` and ``next``: ``value`` of the nearest row before and after for which ``wanted`` holds."""
-    val = F.when(wanted, value)
-    back = block_last(items, keys, block, [F.col(order)], "prev", val, inclusive=False)
-    turned = back.withColumns({"_rev": -F.col(block), "_ord": -F.col(order)})
-    return block_last(turned, keys, "_rev", [F.col("_ord")], "next", val, inclusive=False).drop("_rev", "_ord")
+    return block_around(items, keys, block, [F.col(order)], F.when(wanted, value))
 
 
 def round_robin(items: DataFrame, order: list[str], n: int, blocks: int = 64) -> DataFrame:

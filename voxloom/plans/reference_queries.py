@@ -307,23 +307,23 @@ def wer(spark, sf):
     return t.select("id", F.round(tx.wer(F.col("a"), F.filter("a", lambda x, i: (i + 1) % 7 != 0)), 6).alias("wer"))
 
 
-def _passages(spark, sf):
-    """Segments of ten minutes of a recording as one passage to be matched."""
-    w = timed_whisper(spark, sf).filter("trim(text) <> ''").withColumn("part", F.concat_ws("@", "lecture_id", F.floor(F.col("s") / 600_000)))
-    return w.select("part", F.col("seq").alias("turn"), F.lit("MAIN").alias("speaker"), "text")
+def _documents(spark, sf):
+    """The segments of a whole recording as one document to be matched."""
+    w = timed_whisper(spark, sf).filter("trim(text) <> '' and lecture_id is not null")
+    return w.select(F.col("lecture_id").alias("part"), F.col("id").alias("turn"), F.lit("MAIN").alias("speaker"), "text")
 
 
 @query()
 def greedy_match(spark, sf):
     """Segments matched to copies that lack every seventh word and stand in reverse order."""
-    t = _passages(spark, sf)
+    t = _documents(spark, sf)
     p = t.select("part", (-F.col("turn")).alias("turn"), F.array_join(F.filter(tx.eval_tokens(F.col("text")), lambda x, i: (i + 1) % 7 != 0), " ").alias("text"))
     return match.greedy_match(t, p, "part")
 
 
 @query()
 def evaluation_report(spark, sf):
-    t = _passages(spark, sf)
+    t = _documents(spark, sf)
     drop = lambda n: t.select("part", "turn", F.array_join(F.filter(tx.eval_tokens(F.col("text")), lambda x, i: (i + 1) % n != 0), " ").alias("text"))
     return match.report(t, {"A": drop(7), "B": drop(3)}, "part")
 
