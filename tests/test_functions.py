@@ -133,3 +133,11 @@ def test_edit_distance_brute_force():
 def test_split_text_lanes():
     assert split_text("Aa. " + "b" * 4 + " " + "c" * 6 + " dd. Ee. Ff.", 9) == ["Aa.", "bbbb", "cccccc", "dd.", "Ee. Ff."] or split_text("Aa. bbbb cccccc dd. Ee. Ff.", 9) == ["Aa.", "bbbb", "cccccc dd.", "Ee. Ff."]
     assert split_text("Hi. " + "x" * 9 + " yy. Zz. " + "v" * 12 + ".", 10, repeat=True) == ["Hi.", "x" * 9, "yy.", "Hi. Zz.", "v" * 12 + ".", "Hi. Zz."]
+
+
+def test_signal(spark):
+    from voxloom.functions import signal
+
+    df = spark.createDataFrame([([1.0, -1.0, 1.0, -1.0],), ([1.0, 1.0, 1.0, 1.0],), ([0.0, 0.0],), ([5.0],), ([],), (None,)], "x array<double>")
+    got = [tuple(r) for r in df.select(signal.zero_crossing_rate(F.col("x")), signal.spectral_centroid(F.col("x"), 8)).collect()]
+    assert got == [(0.75, 4.0), (0.0, 0.0), (0.0, 0.0), (0.0, 0.0), (None, None), (None, None)]

@@ -23,11 +23,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(sql: str | None = None):
+def query(sql: str | None = None, queries: dict | None = None, oracle: dict | None = None):
+    """Register a query, and its SQL, in this module's tables or those given."""
     def add(f):
-        QUERIES[f.__name__] = f
+        (QUERIES if queries is None else queries)[f.__name__] = f
         if sql:
-            ORACLE[f.__name__] = sql
+            (ORACLE if oracle is None else oracle)[f.__name__] = sql
         return f
     return add
 
@@ -145,6 +146,7 @@ def merge_items(spark, sf):
     return merged(spark, sf).select("lecture_id", "pos", "type", "id", "s", "e")
 
 
+UNICODE_SPACE = r"[\s\x{001C}-\x{001F}\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{000B}]+"
 _SPLIT = r"'[\s\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+'"
 
 
@@ -300,11 +302,15 @@ def set_f1(spark, sf):
     return _perturbed(spark, sf).select("doc_id", F.round(tx.set_f1(F.col("a"), F.col("b")), 6).alias("f1"))
 
 
-@query(f"with {W}, d as (select id, list_filter(string_split(regexp_replace(lower(text), '[^a-z0-9]', ' ', 'g'), ' '), lambda z: z <> '') as a from w) select id, round(case when len(a) = 0 then 0.0 else cast(len(a) // 7 as double) / len(a) end, 6) as wer from d")
+@query(f"""with {W}, d as (select id, list_filter(string_split(regexp_replace(lower(text), '[^a-z0-9]', ' ', 'g'), ' '), lambda z: z <> '') as a from w),
+ h as (select id, a, flatten(list_transform(a, lambda z, i: case when i % 7 = 0 then cast([] as varchar[]) when i % 11 = 0 then [z, 'yy'] when i % 5 = 0 then ['zz'] else [z] end)) as b from d),
+ v as (select id, a, b, list_distinct(list_concat(a, b)) as u from h)
+select id, round(case when len(a) = 0 then 0.0 else cast(levenshtein(array_to_string(list_transform(a, lambda z: chr(cast(33 + list_position(u, z) as integer))), ''), array_to_string(list_transform(b, lambda z: chr(cast(33 + list_position(u, z) as integer))), '')) as double) / len(a) end, 6) as wer from v""")
 def wer(spark, sf):
-    """Word error rate of segments against themselves without every seventh word."""
+    """Word error rate of segments against themselves with words left out, put in and changed."""
     t = whisper(spark, sf).select("id", tx.eval_tokens(F.col("text")).alias("a"))
-    return t.select("id", F.round(tx.wer(F.col("a"), F.filter("a", lambda x, i: (i + 1) % 7 != 0)), 6).alias("wer"))
+    said = F.flatten(F.transform("a", lambda x, i: F.when((i + 1) % 7 == 0, F.array().cast("array<string>")).when((i + 1) % 11 == 0, F.array(x, F.lit("yy"))).when((i + 1) % 5 == 0, F.array(F.lit("zz"))).otherwise(F.array(x))))
+    return t.select("id", F.round(tx.wer(F.col("a"), said), 6).alias("wer"))
 
 
 def _documents(spark, sf):
@@ -466,11 +472,14 @@ def first_text(spark, sf):
     return table(spark, sf, "gemini").select("gem_id", tx.first_text(F.col("text"), F.col("speaker")).alias("shown")).distinct()
 
 
-@query(f"""with {WT} select id, s // 54000 as chunk_no, s % 54000 as in_chunk, (s // 54000) * 54000 + s % 54000 as s from w""")
+@query(f"""with {WT}, c as (select lecture_id, s // 54000 as chunk_no, min(s) as first_s from w group by 1, 2)
+select id, w.s // 54000 as chunk_no, w.s - c.first_s as in_chunk, least(w.e, c.first_s + 54000) as e from w join c on c.lecture_id = w.lecture_id and c.chunk_no = w.s // 54000""")
 def offset_shift(spark, sf):
-    """Chunk-relative times back to absolute ones."""
-    w = timed_whisper(spark, sf).withColumns({"chunk_no": F.floor(F.col("s") / P.chunk_ms), "in_chunk": F.col("s") % P.chunk_ms})
-    return w.select("id", "chunk_no", "in_chunk", (F.col("chunk_no") * P.chunk_ms + F.col("in_chunk")).alias("s"))
+    """Times counted from the first segment of each chunk, and shifted back by that offset with ends cut to the chunk's length."""
+    w = timed_whisper(spark, sf).withColumn("chunk_no", F.floor(F.col("s") / P.chunk_ms))
+    starts = w.groupBy("lecture_id", "chunk_no").agg(F.min("s").alias("first_s"))
+    local = w.join(starts, ["lecture_id", "chunk_no"]).withColumns({"in_chunk": F.col("s") - F.col("first_s"), "to": F.least(F.col("e") - F.col("first_s"), F.lit(P.chunk_ms))})
+    return local.select("id", "chunk_no", "in_chunk", (F.col("first_s") + F.col("to")).alias("e"))
 
 
 @query(f"with {T}, m as (select distinct lecture_id, local_id, speaker from speaker_map) select t.turn_id, coalesce(m.speaker, 'MAIN') as speaker from t left join m on m.lecture_id = t.lecture_id and m.local_id = t.speaker")

@@ -64,12 +64,12 @@ def gemini_files(spark: SparkSession, path: str, by_folder: bool = True) -> Data
     return docs.select("lecture_id", F.posexplode(rows).alias("seq", "s")).select("lecture_id", "seq", "s.*")
 
 
-def window_files(spark: SparkSession, path: str, spans: DataFrame | None = None) -> DataFrame:
+def window_files(spark: SparkSession, path: str, spans: DataFrame | None = None, by_folder: bool = False) -> DataFrame:
     """``lecture_id, seq, start, end, label`` from window objects or pairs of clock strings (labelled LECTURE).
 
     With ``spans`` (lecture_id, duration), lectures without a file get one window over the whole recording.
     """
-    docs = _json_texts(spark, path, False)
+    docs = _json_texts(spark, path, by_folder)
     pair = F.transform(F.from_json("doc", schemas.WINDOW_PAIRS), lambda p: F.struct(clock_seconds(F.try_element_at(p, F.lit(1))).alias("start"), clock_seconds(F.try_element_at(p, F.lit(2))).alias("end"), F.lit("LECTURE").alias("label")))
     objects = F.transform(F.from_json("doc", f"array<{schemas.WINDOW.simpleString()}>"), lambda w: F.struct(w["start"].alias("start"), w["end"].alias("end"), w["label"].alias("label")))
     rows = docs.select("lecture_id", F.posexplode(F.when(F.col("doc").rlike(r"^\[\s*\["), pair).otherwise(objects)).alias("seq", "w")).select("lecture_id", "seq", "w.*")
@@ -79,26 +79,27 @@ def window_files(spark: SparkSession, path: str, spans: DataFrame | None = None)
     return rows.unionByName(bare)
 
 
-def turn_files(spark: SparkSession, path: str) -> DataFrame:
+def turn_files(spark: SparkSession, path: str, by_folder: bool = False) -> DataFrame:
     """``lecture_id, seq, start, end, speaker`` from text lines; other lines are left out.
 
     ``seq`` grows with the line's place in its file.
     """
-    lines = spark.read.text(path, wholetext=True).select(stem(_path()).alias("lecture_id"), F.posexplode(F.split("value", "\n")).alias("seq", "line"))
+    lines = spark.read.text(path, wholetext=True).select((_folder(_path()) if by_folder else stem(_path())).alias("lecture_id"), F.posexplode(F.split("value", "\n")).alias("seq", "line"))
     f = diarization_line(F.col("line"))
     return lines.select("lecture_id", "seq", *[c.alias(n) for n, c in f.items()]).filter("speaker is not null")
 
 
 def speaker_map_files(spark: SparkSession, path: str) -> DataFrame:
-    """``lecture_id, local_id, speaker`` from nested JSON maps."""
-    docs = spark.read.text(path, wholetext=True).select(F.from_json("value", schemas.SPEAKER_MAP).alias("m"))
+    """``lecture_id, local_id, speaker`` from nested JSON maps, one a file or several on lines of their own."""
+    texts = spark.read.text(path, wholetext=True).select(F.explode(F.split("value", r"(?<=\})\s*\n\s*(?=\{)")).alias("value"))
+    docs = texts.select(F.from_json("value", schemas.SPEAKER_MAP).alias("m"))
     outer = docs.select(F.explode("m").alias("lecture_id", "inner"))
     return outer.select("lecture_id", F.explode("inner").alias("local_id", "speaker"))
 
 
-def block_files(spark: SparkSession, path: str) -> DataFrame:
+def block_files(spark: SparkSession, path: str, by_folder: bool = False) -> DataFrame:
     """``lecture_id, turn, speaker, text`` from ``{speaker, text}`` records or ``{name: {text, ...}}`` / ``{name: text}`` ones."""
-    docs = _json_texts(spark, path, False).select("lecture_id", F.posexplode(F.from_json("doc", "array<map<string,string>>")).alias("turn", "m"))
+    docs = _json_texts(spark, path, by_folder).select("lecture_id", F.posexplode(F.from_json("doc", "array<map<string,string>>")).alias("turn", "m"))
     plain, name, value = F.map_contains_key("m", "speaker"), F.element_at(F.map_keys("m"), 1), F.element_at(F.map_values("m"), 1)
     inner = F.when(value.startswith("{"), F.get_json_object(value, "$.text")).otherwise(value)
     return docs.select("lecture_id", "turn", F.when(plain, F.try_element_at("m", F.lit("speaker"))).otherwise(name).alias("speaker"), F.when(plain, F.try_element_at("m", F.lit("text"))).otherwise(inner).alias("text"))
