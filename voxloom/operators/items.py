@@ -9,6 +9,7 @@ from voxloom.functions.text import words
 from voxloom.operators.intervals import overlapping
 from voxloom.operators.scan import block_scan, near_rows
 from voxloom.operators.windows import neighbours_of_type
+from voxloom.session import checkpointed
 
 SEGMENT, GROUP, BRIDGE = "WHISPER_SEGMENT", "WHISPER_GROUP", "BRIDGE_SEGMENT"
 #: Items of one recording that start within so many milliseconds are numbered in one task.
@@ -28,7 +29,8 @@ def merge_items(first: DataFrame, second: DataFrame, key: str = "lecture_id") ->
     right = b.join(hit, "id", "left").select(key, "id", "s", "e", F.when(F.col("_hit"), GROUP).otherwise(BRIDGE).alias("type"),
                                              F.trim(F.coalesce("text", F.lit(""))).alias("gemini_transcript"), F.coalesce("speaker", F.lit("")).alias("speaker"))
     both = left.unionByName(right, allowMissingColumns=True).withColumns({"rank": F.when(F.col("type") == SEGMENT, 0).otherwise(1), "blk": F.floor(F.col("s") / BLOCK_MS)})
-    return block_scan(both, [key], "blk", [F.col("s"), F.col("e"), F.col("rank"), F.col("id")], sums={"pos": F.lit(1).cast("bigint")}).drop("rank")
+    # Written once: the scan reads its input twice, and the overlap join is dear.
+    return block_scan(checkpointed(both), [key], "blk", [F.col("s"), F.col("e"), F.col("rank"), F.col("id")], sums={"pos": F.lit(1).cast("bigint")}).drop("rank")
 
 
 def by_position(items: DataFrame, block: int = 10_000) -> DataFrame:

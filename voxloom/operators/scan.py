@@ -17,6 +17,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 
 def block_scan(df: DataFrame, keys: list[str], block: str, order: list[Column], sums: dict[str, Column] | None = None,
@@ -74,13 +75,14 @@ def block_around(df: DataFrame, keys: list[str], block: str, order: list[Column]
     rows = df.withColumns({"_o": F.struct(*order), "_v": value})
     there = F.when(F.col("_v").isNotNull(), F.col("_o"))
     ends = rows.groupBy(*keys, block).agg(F.max_by("_v", there).alias("_l"), F.min_by("_v", there).alias("_f"))
-    w = Window.partitionBy(*keys).orderBy(block)
-    carry = ends.select(*keys, block, F.last("_l", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("_b"),
-                        F.first("_f", ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing)).alias("_n"))
-    inside = Window.partitionBy(*keys, block).orderBy("_o")
-    back, ahead = inside.rowsBetween(Window.unboundedPreceding, -1), inside.rowsBetween(1, Window.unboundedFollowing)
+    # What lies ahead is looked at in reverse order: a frame that grows is kept up row by row, one that shrinks is made anew for each.
+    def before(by: list[str], order: Column) -> WindowSpec:
+        return Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+
+    carry = ends.select(*keys, block, F.last("_l", ignorenulls=True).over(before(keys, F.asc(block))).alias("_b"), F.last("_f", ignorenulls=True).over(before(keys, F.desc(block))).alias("_n"))
+    back, ahead = before([*keys, block], F.asc("_o")), before([*keys, block], F.desc("_o"))
     return (rows.join(carry, [*keys, block])
-            .withColumns({"prev": F.coalesce(F.last("_v", ignorenulls=True).over(back), F.col("_b")), "next": F.coalesce(F.first("_v", ignorenulls=True).over(ahead), F.col("_n"))})
+            .withColumns({"prev": F.coalesce(F.last("_v", ignorenulls=True).over(back), F.col("_b")), "next": F.coalesce(F.last("_v", ignorenulls=True).over(ahead), F.col("_n"))})
             .drop("_o", "_v", "_b", "_n"))
 
 

@@ -160,7 +160,7 @@ def _words(x: str) -> str:
 select lecture_id, pos, case when pe is not null then pe when ns is not null then greatest(0, ns - 300 * len({_words('gt')})) else s end as s,
  case when ns is not null then ns when pe is not null then pe + 300 * len({_words('gt')}) else e end as e from n where type = 'BRIDGE_SEGMENT'""")
 def bridge_interpolate(spark, sf):
-    done = items.interpolate_bridges(merged(spark, sf), word_ms=P.word_ms)
+    done = items.interpolate_bridges(checkpointed(merged(spark, sf)), word_ms=P.word_ms)
     return done.filter(F.col("type") == items.BRIDGE).select("lecture_id", "pos", F.col("s").cast("bigint").alias("s"), F.col("e").cast("bigint").alias("e"))
 
 
