@@ -107,3 +107,42 @@ def test_long_entries_come_in_parts(spark, monkeypatch):
     data = [(i, "a", i, "[DONE] x" if i in (2, 12) else f"line {i}" if i != 11 else "") for i in range(1, 14)]
     got = rows(logs.entries(spark.createDataFrame(data, "line_id long, log_name string, line_no int, raw_line string")), "first_line_id", "last_line_id", "n_lines", "part_no", "kind", "message")
     assert got == [(12, 13, 2, 0, "tag", "[DONE] x\nline 13"), (2, 10, 9, 0, "tag", "[DONE] x\nline 3"), (2, 10, 9, 1, "tag", "line 4\nline 5\nline 6\nline 7"), (2, 10, 9, 2, "tag", "line 8\nline 9\nline 10")]
+
+
+def test_templates_do_not_depend_on_pieces(spark, monkeypatch):
+    """Pairs of alike sequences that join nothing else meet, however few sequences a task takes up at once."""
+    pairs = [f"2027-05-25 09:02:20 - c.d - INFO - {x} took {y} of the {x}{x} rows {x}{y}" for x in ("ab", "cd", "ef", "gh", "ij", "kl") for y in ("one", "two")]
+    base = spark.createDataFrame([(i, "a", i, t) for i, t in enumerate(pairs)], "line_id long, log_name string, line_no int, raw_line string")
+    whole = rows(logs.templates(base))
+    assert len(whole) < len(pairs)
+    for piece in (1, 2, 5):
+        monkeypatch.setattr(logs, "PART_SEQUENCES", piece)
+        assert rows(logs.templates(base)) == whole
+
+
+def test_clusters_meet_all_templates():
+    """The index of first tokens finds the template that a comparison with all finds, whatever it was told to expect."""
+    import random
+
+    r = random.Random(5)
+    seqs = [list(s) for s in dict.fromkeys(tuple(r.choice("aabbcdefghijkl") for _ in range(r.randint(1, 12))) for _ in range(600))]
+    made, at = [], []
+    for s in seqs:
+        i = next((i for i, t in enumerate(made) if logs.join_templates(t, s) is not None), len(made))
+        made[i:i + 1] = [logs.join_templates(made[i], s) if i < len(made) else s]
+        at.append(i)
+    for piece in (1, 50, 600):
+        book, got = logs.Clusters(), []
+        for k in range(0, len(seqs), piece):
+            book.expect(seqs[k:k + piece])
+            got += [book.add(s) for s in seqs[k:k + piece]]
+        assert (got, book.rows) == (at, made)
+
+
+def test_long_lcs_is_that_of_the_table():
+    """Of several longest subsequences, long sequences give the one that short ones do."""
+    short = ["x", *"abab", "y"], ["z", *"baba", "w"]
+    mid = logs.lcs(*short)
+    pad = [f"p{i}" for i in range(60)], [f"q{i}" for i in range(60)]
+    long = logs.lcs(["x", *"abab", *pad[0], *pad[0], "y"], ["z", *"baba", *pad[1], *pad[1], "w"])
+    assert long == mid

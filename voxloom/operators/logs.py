@@ -1,7 +1,7 @@
 """Problem 6: raw log lines into entries with time, level, component and message.
 
 Lines are cut into typed tokens (times, levels, components, numbers, paths, words, marks). Distinct token sequences are clustered
-by their longest common subsequence into templates of constant and variable slots, in parts that are merged again. Slots are
+by their longest common subsequence into templates of constant and variable slots, each group of them as a whole. Slots are
 classified by type, and the templates decide: what joined templates have in front of their first free slot is a layout, each line
 is assigned its template, and a line whose template begins with a layout, or has the slots of a warning or job mark, opens an
 entry. Time, level and component are the values at the layout's typed slots.
@@ -11,8 +11,11 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
+from itertools import batched, groupby
+from operator import itemgetter
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -26,7 +29,7 @@ from voxloom.session import checkpointed
 BLOCK_LINES = 20_000
 #: Two token sequences are one template if their common subsequence has this share of the longer one.
 SIMILAR = 0.7
-#: Distinct token sequences that a task clusters.
+#: Distinct token sequences that a task takes up at once: it counts their tokens before it clusters them. No row depends on it.
 PART_SEQUENCES = 20_000
 #: Parts the tokens of a sequence; no token has it.
 SEP = "\x1f"
@@ -93,7 +96,9 @@ def lcs(a: list[str], b: list[str]) -> list[tuple[int, int]]:
         tail += 1
     x, y = a[start:n - tail], b[start:m - tail]
     if len(x) * len(y) > 10_000:
-        middle = [(start + i, start + j) for i, j in lcs_pairs(x, y)]
+        # Reversed, as lcs_pairs traces from the end: of several longest subsequences it finds the one that the table below gives.
+        back = lcs_pairs(x[::-1], y[::-1])[::-1]
+        middle = [(n - tail - 1 - i, m - tail - 1 - j) for i, j in back]
         return [(k, k) for k in range(start)] + middle + [(n - tail + k, m - tail + k) for k in range(tail)]
     best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
     for i in range(len(x) - 1, -1, -1):
@@ -157,43 +162,75 @@ class Shapes:
 class Clusters:
     """Templates of token sequences, joined as the sequences come.
 
-    A common subsequence of the asked length needs so many common tokens, so a template that takes a sequence has at least
-    one of the sequence's rarest tokens: an index of tokens finds all candidates, and tokens in common are counted before
-    subsequences are made.
+    A common subsequence of the asked length leaves out so many tokens of either side at most. So with all tokens in one order, a
+    template and a sequence that it takes agree in one of their first tokens, one more than may be left out. An index of the
+    templates' first tokens finds all candidates; tokens in common are counted before subsequences are made. The order is by
+    rarity among the sequences told to :meth:`expect`, so that few templates share a first token: time depends on it, results don't.
     """
 
     def __init__(self, similar: float = SIMILAR):
         self.similar, self.rows, self.having = similar, [], {}
+        self.seen, self.n_seen, self.rank, self.n_ranked = Counter(), 0, {}, 0
+
+    def expect(self, seqs: list[list[str]]) -> None:
+        """Count the tokens of sequences to be added; whenever their number has doubled, the order and the index are made anew."""
+        for seq in seqs:
+            self.seen.update(seq)
+        self.n_seen += len(seqs)
+        if self.n_seen >= 2 * self.n_ranked:
+            self.rank, self.n_ranked, self.having = {**self.seen, "<*>": -1}, self.n_seen, {}
+            for i, have in enumerate(self.rows):
+                for t in self._first(have):
+                    self.having.setdefault(t, []).append(i)
+
+    def _first(self, seq: list[str]) -> set[str]:
+        spare = len(seq) - math.ceil(self.similar * len(seq) - 1e-9)
+        return set(sorted(seq, key=lambda t: (self.rank.get(t, 0), t))[:spare + 1])
 
     def add(self, seq: list[str]) -> int:
         """The number of the template that takes ``seq``, the first made of those that can."""
-        bag = Counter(seq)
-        need = math.ceil(self.similar * len(seq) - 1e-9)
-        rare = sorted(bag, key=lambda t: len(self.having.get(t, ())))
-        probe, covered = set(), 0
-        for t in rare:
-            if covered > len(seq) - need:
-                break
-            probe.update(self.having.get(t, ()))
-            covered += bag[t]
-        for i in sorted(probe):
-            have, counts = self.rows[i]
-            if (counts & bag).total() >= self.similar * max(len(have), len(seq)) - 1e-9 and (both := join_templates(have, seq, self.similar)) is not None:
-                self.rows[i] = (both, Counter(both))  # its tokens were indexed already: joining only takes tokens away
+        bag, first = Counter(seq), self._first(seq)
+        for i in sorted(set().union(*[self.having.get(t, ()) for t in first])):
+            have = self.rows[i]
+            need = self.similar * max(len(have), len(seq)) - 1e-9
+            if min(len(have), len(seq)) >= need and _common(bag, have) >= need and (both := join_templates(have, seq, self.similar)) is not None:
+                if both != have:
+                    self.rows[i] = both
+                    for t in self._first(both) - self._first(have):
+                        self.having.setdefault(t, []).append(i)
                 return i
         i = len(self.rows)
-        self.rows.append((seq, bag))
-        for t in bag:
+        self.rows.append(seq)
+        for t in first:
             self.having.setdefault(t, []).append(i)
         return i
 
 
-def _cluster(pdf: pd.DataFrame, source: str, keys: list[str], similar: float) -> pd.DataFrame:
-    """``keys, source, template`` of the sequences of a group, the most used first."""
-    pdf = pdf.sort_values(["n_lines", source], ascending=[False, True])
-    book = Clusters(similar)
-    at = [book.add(x.split(SEP)) for x in pdf[source]]
-    return pd.DataFrame({**{k: pdf[k] for k in keys}, source: pdf[source], "template": [SEP.join(book.rows[i][0]) for i in at]})
+def _common(bag: Counter, seq: list[str]) -> int:
+    """How many tokens both have, repeated ones as often as in both."""
+    left, n = dict(bag), 0
+    for t in seq:
+        if left.get(t, 0):
+            left[t] -= 1
+            n += 1
+    return n
+
+
+def _clustered(batches: Iterator[pd.DataFrame], similar: float, piece: int) -> Iterator[pd.DataFrame]:
+    """``kind, no, mask, n_lines`` of sequences that come kind by kind in the order they are clustered in, and after those of a kind
+    its templates as ``kind, no, template``. Sequences are taken up ``piece`` at most at once; of a kind only the templates are held.
+    """
+    def told() -> Iterator[tuple]:
+        for kind, rows in groupby((x for pdf in batches for x in zip(pdf["kind"], pdf["mask"], pdf["n_lines"], strict=True)), key=itemgetter(0)):
+            book = Clusters(similar)
+            for part in batched(rows, piece):
+                seqs = [[sys.intern(t) for t in mask.split(SEP)] for _, mask, _ in part]
+                book.expect(seqs)
+                yield from ((kind, book.add(seq), mask, n, None) for seq, (_, mask, n) in zip(seqs, part, strict=True))
+            yield from ((kind, no, None, 0, SEP.join(template)) for no, template in enumerate(book.rows))
+
+    for rows in batched(told(), piece):
+        yield pd.DataFrame(rows, columns=["kind", "no", "mask", "n_lines", "template"])
 
 
 def zone(template: list[str]) -> int:
@@ -267,21 +304,17 @@ def tokenised(lines: DataFrame) -> DataFrame:
 def mined(masks: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """``mask, n_lines, template``: the template that every distinct token sequence belongs to.
 
-    Sequences are counted before they meet. Those whose first three tokens other than words agree are compared, in parts of
-    ``PART_SEQUENCES`` at most by their hash; templates of a group's parts that joined sequences are joined again over the whole
-    group. What a template is depends on the sequences and their counts alone, not on how the table is cut into tasks.
+    Sequences are counted before they meet. Those whose first three tokens other than words agree, a kind, are compared, the most
+    used first, all with all templates of the kind however many they are: a task reads a kind in this order and holds its templates.
+    What a template is depends on the sequences and their counts alone, not on how the table is cut into tasks.
     """
+    piece = PART_SEQUENCES
     seqs = masks.filter("mask <> ''").groupBy("mask").agg(F.count("*").alias("n_lines"))
     typed = F.filter(F.split("mask", SEP), lambda t: ~t.rlike(r"^[\p{L}]"))
-    keyed = seqs.withColumn("kind", F.concat_ws(SEP, F.slice(typed, 1, 3)))
-    parts = keyed.groupBy("kind").agg(F.ceil(F.count("*") / PART_SEQUENCES).alias("parts"))
-    dealt = salted_join(keyed, parts, ["kind"], F.col("mask"), how="inner").withColumn("part", F.pmod(F.xxhash64("mask"), F.col("parts")))
-    first = checkpointed(dealt.groupBy("kind", "part").applyInPandas(
-        lambda pdf: _cluster(pdf, "mask", ["kind", "parts", "n_lines"], similar), "kind string, parts bigint, n_lines bigint, mask string, template string"))
-    split = first.filter("parts > 1").groupBy("kind", "template").agg(F.sum("n_lines").alias("n_lines"), F.count("*").alias("m")).filter("m > 1").drop("m").withColumnRenamed("template", "was")
-    again = split.groupBy("kind").applyInPandas(lambda pdf: _cluster(pdf, "was", ["kind"], similar), "kind string, was string, template string")
-    return (first.withColumnRenamed("template", "was").join(again, ["kind", "was"], "left")
-            .select("mask", "n_lines", F.coalesce("template", "was").alias("template")))
+    ordered = seqs.withColumn("kind", F.concat_ws(SEP, F.slice(typed, 1, 3))).repartition("kind").sortWithinPartitions("kind", F.desc("n_lines"), "mask")
+    told = checkpointed(ordered.mapInPandas(lambda batches: _clustered(batches, similar, piece), "kind string, no bigint, mask string, n_lines bigint, template string"))
+    made = told.filter("mask is null").select("kind", "no", "template")
+    return told.filter("mask is not null").drop("template").join(made, ["kind", "no"]).select("mask", "n_lines", "template")
 
 
 def layouts(members: DataFrame) -> DataFrame:
