@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -246,6 +247,29 @@ def test_clusters_and_names(spark):
     assert cluster.speaker_map(spark.createDataFrame([("a", "0", "M")], "lecture_id string, local_id string, speaker string")).first().speakers == {"0": "M"}
 
 
+def test_greedy_pairs_brute_force():
+    rng = random.Random(8)
+    for _ in range(60):
+        words = [f"t{i}" for i in range(rng.choice([4, 12, 50]))]
+        truth, preds = ([sorted(set(rng.choices(words, k=rng.randint(0, 9)))) for _ in range(rng.randint(0, 90))] for _ in range(2))
+        free, want = list(range(len(preds))), []
+        for t in truth:
+            scores = [match.f1(frozenset(t), frozenset(preds[j])) for j in free]
+            best = max(range(len(free)), key=lambda k: (scores[k], -free[k]), default=None)
+            want.append((-1, 0.0) if best is None or not scores[best] else (free.pop(best), scores[best]))
+        for held in (0, 2_000):
+            assert match.greedy_pairs(*match.numbered(truth, preds), held=held) == want
+
+
+def test_greedy_pairs_of_many_alike_texts():
+    # Walking the lists of the words' predictions takes the square of their number.
+    preds = [[f"w{k}" for k in range(i % 3, 14)] for i in range(40_000)]
+    began = time.process_time()
+    got = match.greedy_pairs(*match.numbered(preds[::-1], preds))
+    assert time.process_time() - began < 10
+    assert [j for j, _ in got[:4]] == [0, 2, 1, 3] and {j for j, _ in got} == set(range(40_000)) and all(s == 1 for _, s in got)
+
+
 def test_greedy_match(spark):
     s = "doc string, turn long, speaker string, text string"
     t = spark.createDataFrame([("d", 0, "A", "a b c d"), ("d", 1, "B", "a b"), ("d", 2, "C", "zz"), ("e", 0, "A", "a")], s)
