@@ -258,12 +258,12 @@ def test_greedy_pairs_brute_force():
             best = max(range(len(free)), key=lambda k: (scores[k], -free[k]), default=None)
             want.append((-1, 0.0) if best is None or not scores[best] else (free.pop(best), scores[best]))
         for held in (0, 2_000):
-            assert match.greedy_pairs(*match.numbered(truth, preds), held=held) == want
+            assert match.greedy_pairs(*match.numbered(map(" ".join, truth), map(" ".join, preds)), held=held) == want
 
 
 def test_greedy_pairs_of_many_alike_texts():
     # Walking the lists of the words' predictions takes the square of their number.
-    preds = [[f"w{k}" for k in range(i % 3, 14)] for i in range(40_000)]
+    preds = [" ".join(f"w{k}" for k in range(i % 3, 14)) for i in range(40_000)]
     began = time.process_time()
     got = match.greedy_pairs(*match.numbered(preds[::-1], preds))
     assert time.process_time() - began < 10
@@ -280,6 +280,24 @@ def test_greedy_match(spark):
     assert {x.turn: x.WER_A for x in match.report(t.filter("doc = 'd'"), {"A": p}, "doc", compat=True).collect()}[0] is None
 
 
+def test_report_of_a_long_recording_equals_matching_by_hand(spark):
+    # Above the size at which all scores are held.
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randint(0, 60)}" for _ in range(rng.randint(0, 12))) for _ in range(2_100)]
+    t = spark.createDataFrame([("d", i, "S", x) for i, x in enumerate(texts)], "doc string, turn long, speaker string, text string")
+    p = t.select("doc", "turn", F.array_join(F.slice(F.split("text", " "), 2, 20), " ").alias("text"))
+    free, want = {i: frozenset(x.split()[1:]) for i, x in enumerate(texts)}, []
+    for x in texts:
+        mine = frozenset(x.split())
+        best = max(free, key=lambda j: (match.f1(mine, free[j]), -j))
+        score = match.f1(mine, free[best])
+        want.append(round(score, 4))
+        if score:
+            del free[best]
+    got = match.report(t, {"A": p}, "doc").orderBy("turn").collect()
+    assert len(got) == len(want) and all(abs(r.SegA - w) < 1e-4 for r, w in zip(got, want, strict=True))
+
+
 def test_incremental(spark):
     ids = spark.createDataFrame([(x,) for x in "abcdef"], "k string")
     out = spark.createDataFrame([("a", "[1]"), ("b", "[]"), ("c", "[1"), ("d", None), ("e", '{"a": 1}')], "k string, doc string")

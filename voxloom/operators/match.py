@@ -22,11 +22,12 @@ def f1(a: frozenset, b: frozenset) -> float:
     return 2 * p * r / (p + r)
 
 
-def numbered(truth: Iterable, preds: Iterable) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
-    """Arguments of :func:`greedy_pairs` from lists of tokens without repeats."""
-    sides = [[np.asarray(x, dtype=object) for x in side] for side in (truth, preds)]
-    codes, seen = pd.factorize(np.concatenate([np.empty(0, dtype=object), *sides[0], *sides[1]]))
-    ends = [np.concatenate([[0], np.cumsum([len(x) for x in side], dtype=np.int64)]).astype(np.int64) for side in sides]
+def numbered(truth: Iterable[str], preds: Iterable[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+    """Arguments of :func:`greedy_pairs` from texts of tokens without repeats, a space between two."""
+    sides = [list(truth), list(preds)]
+    ends = [np.cumsum([0, *(x.count(" ") + 1 if x else 0 for x in side)], dtype=np.int64) for side in sides]
+    tokens = " ".join(x for side in sides for x in side if x).split()
+    codes, seen = pd.factorize(np.array(tokens, dtype=object))
     cut = ends[0][-1]
     return ends[0], codes[:cut], ends[1], codes[cut:], len(seen)
 
@@ -243,7 +244,7 @@ def greedy_match(truth: DataFrame, preds: DataFrame, key: str, order: str = "tur
         at = b[order].to_numpy()
         return pd.DataFrame({key: a[key].to_numpy(), "turn": a[order].to_numpy(), "pred": pd.array([int(at[j]) if j >= 0 else None for j, _ in got], dtype="Int64"), "score": [s for _, s in got]})
 
-    side = lambda df: df.select(F.col(key).alias(key), F.col(order).cast("bigint").alias(order), F.array_distinct(eval_tokens(F.col("text"))).alias("toks"))
+    side = lambda df: df.select(F.col(key).alias(key), F.col(order).cast("bigint").alias(order), F.array_join(F.array_distinct(eval_tokens(F.col("text"))), " ").alias("toks"))
     return side(truth).groupBy(key).cogroup(side(preds).groupBy(key)).applyInPandas(run, f"{key} {kind}, turn bigint, pred bigint, score double")
 
 

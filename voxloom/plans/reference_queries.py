@@ -314,9 +314,9 @@ def wer(spark, sf):
 
 
 def _documents(spark, sf):
-    """The segments of a whole recording as one document to be matched."""
+    """The segments of a whole recording as one document to be matched; written once, as every side of every match reads them."""
     w = timed_whisper(spark, sf).filter("trim(text) <> '' and lecture_id is not null")
-    return w.select(F.col("lecture_id").alias("part"), F.col("id").alias("turn"), F.lit("MAIN").alias("speaker"), "text")
+    return checkpointed(w.select(F.col("lecture_id").alias("part"), F.col("id").alias("turn"), F.lit("MAIN").alias("speaker"), "text"))
 
 
 @query()
