@@ -173,6 +173,42 @@ def test_long_recordings_are_aligned_as_a_whole(spark):
     assert len(got) == 40 and {k: v for k, v in got.items() if v} == {k: " ".join(v) for k, v in want.items()}
 
 
+def _told(rng, phrases, n):
+    """A text of ``n`` phrases, and the same with words put in, left out and changed, and stretches left out."""
+    a = [w for _ in range(n) for w in rng.choice(phrases)]
+    b, k = [], 0
+    while k < len(a):
+        x = rng.random()
+        b += [a[k]] if x < 0.96 else ["um", a[k]] if x < 0.98 else ["other"] if x < 0.99 else []
+        k += 60 if x > 0.999 else 1
+    return a, b
+
+
+def test_corridor_has_the_pairs_of_the_whole_table():
+    for seed, distinct in ((1, 4_000), (2, 300), (3, 12)):  # many alike passages leave a wide corridor or none
+        rng = random.Random(seed)
+        a, b = _told(rng, [[f"w{rng.randint(0, 500)}" for _ in range(rng.randint(3, 9))] for _ in range(distinct)], 4_000)
+        assert align.lcs_pairs(a, b, large=0) == align.lcs_pairs(a, b, large=10**18)
+    for n in (0, 1, 40):
+        assert align.lcs_pairs(a[:n], b[:3 * n], large=0) == align.lcs_pairs(a[:n], b[:3 * n], large=10**18)
+
+
+def test_corridor_keeps_the_time_of_long_recordings_near_their_length():
+    rng = random.Random(4)
+    a, b = _told(rng, [[f"w{rng.randint(0, 900)}" for _ in range(rng.randint(3, 9))] for _ in range(9_000)], 200_000)
+    began = time.process_time()
+    i, j = zip(*align.lcs_pairs(a, b), strict=True)
+    assert time.process_time() - began < 40 and len(i) > 0.9 * len(b)
+    assert all(a[x] == b[y] for x, y in zip(i, j, strict=True)) and all(p < q for p, q in zip(j, j[1:]))
+
+
+def test_matched_text_equals_token_pairs(spark):
+    w = spark.createDataFrame([("a", 1, 1, "One, two -- three"), ("a", 2, 2, "--"), ("a", 3, 3, None), ("a", 4, 4, "four five"), ("b", 5, 1, "alone")], "lecture_id string, id long, pos long, text string")
+    g = spark.createDataFrame([("a", 9, 1, "ONE \u2013 three!"), ("a", 8, 2, "- five -"), ("c", 7, 1, "x")], "lecture_id string, id long, pos long, text string")
+    want = rows(align.aligned_text(w, align.token_pairs(w, g, "lecture_id", "pos")))
+    assert rows(align.scored(w, align.matched_text(w, g, "lecture_id", "pos"))) == want and ("ONE three!" in repr(want))
+
+
 def test_aligned_text_and_score(spark):
     s = "lecture_id string, id long, pos long, text string"
     w = spark.createDataFrame([("a", 1, 1, "the cat sat"), ("a", 2, 2, "on mats"), ("a", 3, 3, "..."), ("b", 4, 1, "alone")], s)

@@ -48,7 +48,7 @@ def aligned_items(merged: DataFrame) -> DataFrame:
     """
     first = merged.filter(F.col("type") == items.SEGMENT).select("lecture_id", "id", "pos", F.col("whisper_transcript").alias("text"))
     second = merged.filter(F.col("type") == items.GROUP).select("lecture_id", "id", "pos", F.col("gemini_transcript").alias("text"))
-    return align.aligned_text(first, align.token_pairs(first, second, "lecture_id", "pos"))
+    return align.scored(first, align.matched_text(first, second, "lecture_id", "pos"))
 
 
 def fused_segments(whisper: DataFrame, gemini: DataFrame, p: Params = Params()) -> DataFrame:
